@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.urls import is_campaign_url, is_http, is_listing_url, is_product_url, url_id
@@ -87,13 +87,16 @@ class Extracts:
     products: DataFrame
 
 
-def extract(pages: DataFrame, home_urls: list[str], profile: SiteProfile = DEFAULT_PROFILE) -> DataFrame:
+def extract(
+    pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE
+) -> DataFrame:
     """One pass over the pages: per page, only the parts its URL calls for.
+    ``home`` names the home pages, by URL or by a condition.
 
     No shuffle. The result has no HTML and is what later steps join.
     """
     url = F.col("url")
-    home = url.isin(*home_urls)
+    home = url.isin(*home) if isinstance(home, list) else home
     campaign, listing = is_campaign_url(url, profile), is_listing_url(url, profile)
     product = is_product_url(url, profile)
     wanted = pages.select("page_id", "url", "html").filter(home | campaign | listing | product)
@@ -224,7 +227,7 @@ def crawl_tables(
 
 
 def run(
-    pages: DataFrame, home_urls: list[str], campaigns_path: str, products_path: str, run_ts: str,
+    pages: DataFrame, home: Column | list[str], campaigns_path: str, products_path: str, run_ts: str,
     profile: SiteProfile = DEFAULT_PROFILE, fmt: str = "csv", allow_duplicates: bool = False,
     rejects_path: str | None = None,
 ) -> None:
@@ -236,7 +239,7 @@ def run(
     loss between the two writes adds no product twice.
     """
     spark = pages.sparkSession
-    extracts = extract(pages, home_urls, profile).checkpoint()
+    extracts = extract(pages, home, profile).checkpoint()
     visited = None if allow_duplicates else visited_keys(spark, campaigns_path, "campaign_url", fmt)
     campaigns, products = crawl_tables(extracts, run_ts, profile, visited, allow_duplicates)
     # The stored tables are read above and written below: fix the rows first.

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import tempfile
+
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -11,18 +15,36 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # Parsing costs far more CPU per byte than a plain scan: smaller splits.
     "spark.sql.files.maxPartitionBytes": "32m",
+    # Page expressions are large; recording a call site per node costs seconds.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Pages are large rows: bound Arrow batches by rows too.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a running session (all can change at run time)."""
+    """Apply the settings that a running session can still change.
+
+    Task functions travel with the job, so workers need no installed package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    shared_folder(spark)
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder for checkpoints and cut-off tables. Only
+    where none is named, as in tests, a local one is made."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="shelfmill-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def build_session(app: str = "shelfmill", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
