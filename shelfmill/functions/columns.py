@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -44,3 +45,18 @@ def distinct_by_first(arr: Column, key: str) -> Column:
             s, lambda x, i: (i == 0) | (x[key] != F.get(s, i - 1)[key])
         ),
     )
+
+
+def built_once(fn: Callable) -> Callable:
+    """Build a large expression once per application and set of arguments.
+    Columns are plain descriptions, so plans can share them."""
+    built: dict = {}
+
+    @functools.wraps(fn)
+    def build(*args):
+        app = SparkSession.active().sparkContext.applicationId
+        if (app, args) not in built:
+            built[(app, args)] = fn(*args)
+        return built[(app, args)]
+
+    return build

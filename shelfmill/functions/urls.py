@@ -8,27 +8,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_PROFILE, SiteProfile
-from .columns import any_of, as_col, blank_to_null
+from .columns import any_of, as_col, blank_to_null, let
 
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 
 
-def _without_dot_segments(path: Column) -> Column:
-    """RFC 3986 removal of '.' and '..'; only paths that hold one pay for it."""
-    parts = F.split(path, "/")
-    kept = F.aggregate(
+# A path without authority that holds '.' or '..', or a relative one with '//'.
+_UNTIDY = r"^(?!//)(?:[^?#]*/)?\.\.?(?:[/?#]|$)|^[^/?#][^?#]*//"
+
+
+def _tidy_path(link: Column, origin: str) -> Column:
+    """RFC 3986 removal of '.' and '..' from a link without authority."""
+    path = F.regexp_extract(link, r"^([^?#]*)", 1)
+    rooted = F.when(path.startswith("/"), path).otherwise(
+        F.regexp_replace(F.concat(F.lit("/"), path), "/{2,}", "/")
+    )
+    drop_last = lambda acc: F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
+    kept = lambda parts: F.aggregate(
         parts,
-        F.array().cast("array<string>"),
-        lambda acc, seg: F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        F.expr("cast(array() as array<string>)"),
+        lambda acc, seg: F.when(seg == "..", drop_last(acc))
         .when(seg == ".", acc)
         .otherwise(F.array_append(acc, seg)),
     )
-    joined = F.array_join(kept, "/")
-    joined = F.when(
-        F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), F.concat(joined, F.lit("/"))
-    ).otherwise(joined)
-    rooted = F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
-    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), rooted).otherwise(path)
+    # A last '.' or '..' names a folder, so the path ends in '/'.
+    marked = F.regexp_replace(rooted, r"(/\.\.?)$", "$1/")
+    clean = F.array_join(kept(F.split(marked, "/")), "/")
+    tail = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    return F.concat(F.lit(f"{origin}/"), F.regexp_replace(clean, "^/", ""), tail)
 
 
 def resolve_url(href: Column | str, base: str = DEFAULT_PROFILE.base_url) -> Column:
@@ -36,22 +43,18 @@ def resolve_url(href: Column | str, base: str = DEFAULT_PROFILE.base_url) -> Col
     raw = as_col(href)
     root = urlsplit(base)
     scheme, origin = root.scheme, f"{root.scheme}://{root.netloc}"
-    h = F.regexp_replace(raw, r"^[\x00-\x20]+|[\t\r\n]", "")
-    rest = F.regexp_replace(h, rf"(?i)^{scheme}:", "")
-    # An empty query or fragment does not survive the join.
-    tidy = F.regexp_replace(F.regexp_replace(rest, r"#$", ""), r"\?(?=#|$)", "")
-    path = F.regexp_extract(tidy, r"^([^?#]*)", 1)
-    tail = F.substring(tidy, F.length(path) + 1, F.length(tidy))
-    relative = F.regexp_replace(F.concat(F.lit("/"), path), "/{2,}", "/")
+    # White space, the base's own scheme, empty fragment and empty query go.
+    rest = F.regexp_replace(raw, r"^[\x00-\x20]+|[\t\r\n]", "")
+    rest = F.regexp_replace(rest, rf"^(?i:{scheme}):|#$|\?#?$|\?(?=#)", "")
+    simple = F.regexp_replace(rest, "^//", f"{scheme}://")
+    simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=[/?#])", origin)
+    simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=.)", f"{origin}/")
+    other = raw.rlike(rf"^[\x00-\x20]*(?!(?i:{scheme}):){_SCHEME}:")
     return (
         F.when(raw.isNull() | (raw == ""), "")
-        .when(h.rlike(rf"^{_SCHEME}:") & ~h.rlike(rf"(?i)^{scheme}:"), raw)
-        .when(rest.startswith("//"), F.concat(F.lit(f"{scheme}:"), tidy))
-        .when(path == "", F.concat(F.lit(origin), tail))
-        .when(
-            path.startswith("/"), F.concat(F.lit(origin), _without_dot_segments(path), tail)
-        )
-        .otherwise(F.concat(F.lit(origin), _without_dot_segments(relative), tail))
+        .when(other, raw)
+        .when(rest.rlike(_UNTIDY), let(rest, lambda r: _tidy_path(r, origin)))
+        .otherwise(simple)
     )
 
 

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_col, distinct_by_first, let
+from ..functions.columns import as_col, built_once, distinct_by_first, let
 from ..functions.text import clean_text, end_date_text, few_words
 from ..functions.urls import (
     is_campaign_url, is_listing_url, is_product_url, page_kinds, resolve_url, same_url_key,
@@ -21,6 +21,7 @@ from .page import Page, Spans, present
 MAIN_LISTING = "principal"  # fixed value: label of the campaign's own page
 
 
+@built_once
 def page_links(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     """Every link: ``pos, url, label, kinds``."""
     page = Page(profile)
@@ -162,6 +163,7 @@ def _card_urls(
     return F.filter(with_url, lambda c: c["anchor"].isNotNull() & wanted(c["url"]))
 
 
+@built_once
 def campaign_cards(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     """Campaigns of a home page: ``pos, name, url, end_date``."""
     page = Page(profile)
@@ -200,6 +202,7 @@ def campaign_cards(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     )
 
 
+@built_once
 def product_cards(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     """Products of a listing page: ``pos, product_url, product_name``."""
     page = Page(profile)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.colors import color_from_name, color_from_phrase, is_bad_color, is_color_label, last_part
 from ..functions.columns import (
-    any_of, as_col, blank_to_null, distinct_by_first, first, let, strings,
+    any_of, as_col, blank_to_null, built_once, distinct_by_first, first, let, strings,
 )
 from ..functions.jsonwalk import LINKED_DATA
 from ..functions.prices import (
@@ -502,6 +502,7 @@ def detail_image(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     )
 
 
+@built_once
 def detail_columns(profile: SiteProfile = DEFAULT_PROFILE) -> dict[str, Column]:
     """Everything a product page gives by itself (C21 without the stub)."""
     before, after = detail_color_parts(profile)

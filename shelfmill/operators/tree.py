@@ -8,7 +8,8 @@ projections over that row; nothing is joined or grouped to work inside a page.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -28,6 +29,9 @@ VOID_TAGS = frozenset((
 OWN_TEXT_TAGS = ("rp", "rt", "script", "style", "template")
 # ---- end of fixed values ----
 
+NODE_FIELDS = (
+    "pre", "last", "parent", "depth", "sib", "tag", "attrs", "text", "t0", "t1", "chars", "links",
+)
 NODE_TYPE = (
     "struct<pre:int,last:int,parent:int,depth:int,sib:int,tag:string,"
     "attrs:map<string,string>,text:string,t0:int,t1:int,chars:int,links:int>"
@@ -41,80 +45,141 @@ TREE_TYPES = {
 }
 TREE_COLUMNS = tuple(TREE_TYPES)
 
-_INTS = ("pre", "last", "parent", "depth", "sib", "t0", "t1", "chars", "links")
+_INTS = ("last", "parent", "depth", "sib", "t0", "t1", "chars", "links")
 _BATCH_NODES = 50_000  # output batches stay small whatever the page sizes
 
 
 class _Shredder(HTMLParser):
-    """Appends one page's nodes to column lists; ``pre`` restarts at 0."""
+    """Reads pages one after another into columns of nodes.
+
+    Positions (``parent``, ``last``, ``t0`` …) count from the page's start.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, keys: frozenset[str]) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.texts: list[str] = []
-        self.ends = [0]  # characters up to and including each text piece
-        self.open: list[dict] = []
+        self.keys = keys
+        self.clear()
+
+    def clear(self) -> None:
+        self.ints: dict[str, list[int]] = {name: [] for name in _INTS}
+        self.pre: list[int] = []
+        self.tags: list[str] = []
+        self.attrs: list[dict] = []
+        self.text: list[str | None] = []
+        self.texts: list[list[str]] = []
+        self.objects: list[list[dict]] = []
+        self.errors: list[str | None] = []
+        self.sizes: list[int] = []
+
+    # -- one page ------------------------------------------------------
+    def read(self, html: str | None) -> None:
+        """Append one page; a page that cannot be read leaves only its root."""
+        start = len(self.tags)
+        error = None
+        self._begin()
+        try:
+            self.feed(html or "")
+            self.close()
+            self._flush()
+            while self.open:
+                self._close()
+        except Exception as exc:  # goes to the reject table, not the run's end
+            error = f"{type(exc).__name__}: {exc}"
+            for column in (self.pre, self.tags, self.attrs, self.text, *self.ints.values()):
+                del column[start:]
+            self._begin()
+            self._close()
+        self.texts.append(self.pieces)
+        self.errors.append(error)
+        self.sizes.append(len(self.tags) - start)
+        self.objects.append(self._script_objects(start))
+
+    def _begin(self) -> None:
+        self.reset()
+        self.start = len(self.tags)
+        self.pieces: list[str] = []
+        self.ends = [0]  # characters up to and including each piece
+        self.open: list[int] = []
         self.open_tags: dict[str, int] = {}
-        self.kids = {}
+        self.kids: list[int] = []  # children so far of each open element
+        self.holders: list[int] = []  # open elements that keep their own text
         self.pending: list[str] = []
-        self.links = 0
-        self._add("#root", {})
-
-    def _add(self, tag: str, attrs: dict, text: str | None = None) -> dict:
-        parent = self.open[-1]["pre"] if self.open else -1
-        sib = self.kids.get(parent, 0)
-        self.kids[parent] = sib + 1
-        pre, seen = len(self.rows), len(self.texts)
-        row = {
-            "pre": pre, "last": pre, "parent": parent, "depth": len(self.open), "sib": sib,
-            "tag": tag, "attrs": attrs, "text": text, "t0": seen, "t1": seen, "chars": 0,
-            "links": self.links,
-        }
-        self.rows.append(row)
-        if tag[0] != "#" or pre == 0:
-            self.open.append(row)
-            self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
-        return row
+        self.seen_links = 0
+        self._add("#root", {}, None)
+        self._enter("#root")
+
+    def _add(self, tag: str, attrs: dict, text: str | None) -> int:
+        at, ints = len(self.tags), self.ints
+        pre, seen = at - self.start, len(self.pieces)
+        sib = 0
+        if self.kids:
+            sib = self.kids[-1]
+            self.kids[-1] = sib + 1
+        self.pre.append(pre)
+        self.tags.append(tag)
+        self.attrs.append(attrs)
+        self.text.append(text)
+        ints["last"].append(pre)
+        ints["parent"].append(self.open[-1] - self.start if self.open else -1)
+        ints["depth"].append(len(self.open))
+        ints["sib"].append(sib)
+        ints["t0"].append(seen)
+        ints["t1"].append(seen)
+        ints["chars"].append(0)
+        ints["links"].append(self.seen_links)
+        return at
+
+    def _enter(self, tag: str) -> None:
+        at = len(self.tags) - 1
+        self.open.append(at)
+        self.kids.append(0)
+        self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
+        if tag in OWN_TEXT_TAGS:
+            self.holders.append(at)
 
     def _close(self) -> None:
-        row = self.open.pop()
-        self.open_tags[row["tag"]] -= 1
-        row["last"] = len(self.rows) - 1
-        row["t1"] = len(self.texts)
-        row["chars"] = max(0, self.ends[-1] - self.ends[row["t0"]] - 1)
-        if row["tag"] in OWN_TEXT_TAGS:
-            row["chars"] = len(" ".join((row["text"] or "").split()))
+        at, ints = self.open.pop(), self.ints
+        self.kids.pop()
+        tag = self.tags[at]
+        self.open_tags[tag] -= 1
+        ints["last"][at] = len(self.tags) - 1 - self.start
+        ints["t1"][at] = len(self.pieces)
+        if self.holders and self.holders[-1] == at:
+            self.holders.pop()
+            ints["chars"][at] = len(" ".join((self.text[at] or "").split()))
+        elif len(self.pieces) > ints["t0"][at]:
+            ints["chars"][at] = self.ends[-1] - self.ends[ints["t0"][at]] - 1
 
     def _flush(self) -> None:
+        if not self.pending:
+            return
         data = "".join(self.pending)
         self.pending.clear()
-        if not data:
-            return
-        holder = next((r for r in reversed(self.open) if r["tag"] in OWN_TEXT_TAGS), None)
         piece = " ".join(data.split())
-        if holder is not None:
-            holder["text"] = data if holder["text"] is None else holder["text"] + "\n" + data
-        if holder is not None or not piece:  # still counts as a sibling
-            parent = self.open[-1]["pre"]
-            self.kids[parent] = self.kids.get(parent, 0) + 1
+        if self.holders:
+            held = self.text[self.holders[-1]]
+            self.text[self.holders[-1]] = data if held is None else f"{held}\n{data}"
+        if self.holders or not piece:  # still counts as a sibling
+            self.kids[-1] += 1
             return
-        row = self._add("#text", {})
-        self.texts.append(piece)
+        at = self._add("#text", {}, None)
+        self.pieces.append(piece)
         self.ends.append(self.ends[-1] + len(piece) + 1)
-        row["t1"] = len(self.texts)
-        row["chars"] = len(piece)
+        self.ints["t1"][at] = len(self.pieces)
+        self.ints["chars"][at] = len(piece)
 
+    # -- tokens --------------------------------------------------------
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self._flush()
         values = {k: v or "" for k, v in attrs}
         if "class" in values:
             values["class"] = " ".join(values["class"].split())
-        row = self._add(tag, values)
+        at = self._add(tag, values, None)
         if tag == "a" and "href" in values:
-            self.links += 1
-            row["links"] = self.links
-        if tag in VOID_TAGS:
-            self._close()
+            self.seen_links += 1
+            self.ints["links"][at] = self.seen_links
+        if tag not in VOID_TAGS:
+            self._enter(tag)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -123,13 +188,14 @@ class _Shredder(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self._flush()
-        if self.open_tags.get(tag) and tag not in VOID_TAGS:
-            while self.open[-1]["tag"] != tag:
+        if self.open_tags.get(tag):
+            while self.tags[self.open[-1]] != tag:
                 self._close()
             self._close()
 
     def handle_data(self, data: str) -> None:
-        self.pending.append(data)
+        if data:
+            self.pending.append(data)
 
     def handle_comment(self, data: str) -> None:
         self._flush()
@@ -141,66 +207,48 @@ class _Shredder(HTMLParser):
             self.pending.append(data[6:])
             self._flush()
 
-    def finish(self, html: str) -> None:
-        self.feed(html)
-        self.close()
-        self._flush()
-        while self.open:
-            self._close()
-
-
-def _parse(html: str | None) -> tuple[_Shredder, str | None]:
-    page = _Shredder()
-    try:
-        page.finish(html or "")
-        return page, None
-    except Exception as exc:  # a bad page goes to the reject table, not the run's end
-        empty = _Shredder()
-        empty.finish("")
-        return empty, f"{type(exc).__name__}: {exc}"
-
-
-def _page_objects(page: _Shredder, keys: frozenset[str]) -> list[dict]:
-    found = []
-    for row in page.rows:
-        if row["tag"] == "script" and row["text"]:
-            parts = script_objects(row["attrs"].get("type", ""), row["text"], keys)
-            for part, kept in parts:
-                if kept:
-                    found.append(
-                        {"script": row["pre"], "part": part, "ord": len(found), "members": kept}
-                    )
-    return found
-
-
-def _offsets(lengths: Iterator[int]) -> pa.Array:
-    out = [0]
-    for n in lengths:
-        out.append(out[-1] + n)
-    return pa.array(out, pa.int32())
-
-
-def _tree_arrays(pages: list[tuple], objects: list[list[dict]], object_type: pa.DataType) -> list[pa.Array]:
-    rows = [r for page, _ in pages for r in page.rows]
-    attrs = pa.MapArray.from_arrays(
-        _offsets(len(r["attrs"]) for r in rows),
-        pa.array([k for r in rows for k in r["attrs"]], pa.string()),
-        pa.array([v for r in rows for v in r["attrs"].values()], pa.string()),
-    )
-    fields = {name: pa.array([r[name] for r in rows], pa.int32()) for name in _INTS}
-    fields |= {name: pa.array([r[name] for r in rows], pa.string()) for name in ("tag", "text")}
-    fields["attrs"] = attrs
-    order = [part.split(":")[0] for part in NODE_TYPE[7:-1].replace("map<string,string>", "map").split(",")]
-    nodes = pa.ListArray.from_arrays(
-        _offsets(len(page.rows) for page, _ in pages),
-        pa.StructArray.from_arrays([fields[n] for n in order], names=order),
-    )
-    texts = pa.ListArray.from_arrays(
-        _offsets(len(page.texts) for page, _ in pages),
-        pa.array([t for page, _ in pages for t in page.texts], pa.string()),
-    )
-    errors = pa.array([error for _, error in pages], pa.string())
-    return [nodes, texts, pa.array(objects, object_type), errors]
+    # -- results -------------------------------------------------------
+    def _script_objects(self, start: int) -> list[dict]:
+        found = []
+        for at in range(start, len(self.tags)):
+            if self.tags[at] == "script" and self.text[at]:
+                kind = self.attrs[at].get("type", "")
+                for part, kept in script_objects(kind, self.text[at], self.keys):
+                    if kept:
+                        found.append(
+                            {"script": at - start, "part": part, "ord": len(found), "members": kept}
+                        )
+        return found
+
+    def arrays(self) -> list[pa.Array]:
+        """The tree columns of all pages read since the last ``clear``."""
+        attrs = pa.MapArray.from_arrays(
+            _offsets(map(len, self.attrs)),
+            pa.array([k for a in self.attrs for k in a], pa.string()),
+            pa.array([v for a in self.attrs for v in a.values()], pa.string()),
+        )
+        fields = {name: pa.array(values, pa.int32()) for name, values in self.ints.items()}
+        fields["pre"] = pa.array(self.pre, pa.int32())
+        fields["tag"] = pa.array(self.tags, pa.string())
+        fields["text"] = pa.array(self.text, pa.string())
+        fields["attrs"] = attrs
+        nodes = pa.ListArray.from_arrays(
+            _offsets(self.sizes),
+            pa.StructArray.from_arrays([fields[n] for n in NODE_FIELDS], names=NODE_FIELDS),
+        )
+        texts = pa.array(self.texts, pa.list_(pa.string()))
+        errors = pa.array(self.errors, pa.string())
+        return [nodes, texts, pa.array(self.objects, _OBJECTS), errors]
+
+
+_MEMBER = pa.struct([("key", pa.string()), ("value", pa.string()), ("kind", pa.string())])
+_OBJECTS = pa.list_(pa.struct([
+    ("script", pa.int32()), ("part", pa.int32()), ("ord", pa.int32()), ("members", pa.list_(_MEMBER)),
+]))
+
+
+def _offsets(lengths: Iterable[int]) -> pa.Array:
+    return pa.array(itertools.accumulate(lengths, initial=0), pa.int32())
 
 
 def shred(
@@ -212,26 +260,20 @@ def shred(
     added = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in TREE_TYPES.items()))
     schema = T.StructType([pages.schema[c] for c in keep] + added.fields)
     keys = frozenset(profile.json_keys)
-    member = pa.struct([("key", pa.string()), ("value", pa.string()), ("kind", pa.string())])
-    object_type = pa.list_(pa.struct([
-        ("script", pa.int32()), ("part", pa.int32()), ("ord", pa.int32()),
-        ("members", pa.list_(member)),
-    ]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Shredder(keys)
         for batch in batches:
-            source = batch.column(len(keep))
-            start, parsed, objects, size = 0, [], [], 0
+            source, start = batch.column(len(keep)), 0
             for i in range(batch.num_rows):
-                page, error = _parse(source[i].as_py())
-                parsed.append((page, error))
-                objects.append(_page_objects(page, keys))
-                size += len(page.rows)
-                if size >= _BATCH_NODES or i + 1 == batch.num_rows:
-                    kept = [batch.column(k).slice(start, len(parsed)) for k in range(len(keep))]
-                    columns = kept + _tree_arrays(parsed, objects, object_type)
-                    yield pa.RecordBatch.from_arrays(columns, names=keep + list(TREE_COLUMNS))
-                    start, parsed, objects, size = i + 1, [], [], 0
+                reader.read(source[i].as_py())
+                if len(reader.tags) >= _BATCH_NODES or i + 1 == batch.num_rows:
+                    done = i + 1 - start
+                    kept = [batch.column(k).slice(start, done) for k in range(len(keep))]
+                    names = keep + list(TREE_COLUMNS)
+                    yield pa.RecordBatch.from_arrays(kept + reader.arrays(), names=names)
+                    reader.clear()
+                    start = i + 1
 
     return pages.select(*keep, html).mapInArrow(run, schema)
 
