@@ -46,8 +46,9 @@ def resolve_url(href: Column | str, base: str = DEFAULT_PROFILE.base_url) -> Col
     # White space, the base's own scheme, empty fragment and empty query go.
     rest = F.regexp_replace(raw, r"^[\x00-\x20]+|[\t\r\n]", "")
     rest = F.regexp_replace(rest, rf"^(?i:{scheme}):|#$|\?#?$|\?(?=#)", "")
+    rest = F.regexp_replace(rest, r"^//(?=[/?#]|$)", "")
     simple = F.regexp_replace(rest, "^//", f"{scheme}://")
-    simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=[/?#])", origin)
+    simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=[/?#]|$)", origin)
     simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=.)", f"{origin}/")
     other = raw.rlike(rf"^[\x00-\x20]*(?!(?i:{scheme}):){_SCHEME}:")
     return (
