@@ -44,11 +44,16 @@ def objects(value: object) -> Iterator[dict]:
             stack.extend(reversed(list(inner)))
 
 
+def _storable(text: str) -> str:
+    """JSON escapes can hold half of a surrogate pair, which no column can."""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode("utf-8")
+
+
 def members(obj: dict, keys: frozenset[str] | None) -> list[dict]:
     """Members whose lower-cased key is wanted, values as text."""
     kind = {str: "text", bool: "flag", int: "number", float: "number", type(None): "null"}
     return [
-        {"key": k, "value": str(v), "kind": kind.get(type(v), "nested")}
+        {"key": _storable(k), "value": _storable(str(v)), "kind": kind.get(type(v), "nested")}
         for k, v in obj.items()
         if keys is None or k.lower() in keys
     ]

@@ -98,7 +98,7 @@ def _label(pct: Column) -> Column:
 def discount_number(original: Column | str, current: Column | str) -> Column:
     """Whole per cent off, halves to even."""
     share = F.try_divide(as_col(current).cast("double"), as_col(original).cast("double"))
-    return F.rint((1 - share) * 100).cast("int")
+    return F.rint((1 - share) * 100).try_cast("int")
 
 
 def discount_pct(original: Column | str, current: Column | str) -> Column:

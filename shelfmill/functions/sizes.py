@@ -88,7 +88,7 @@ def sorted_size_text(sizes: Column) -> Column:
         sizes,
         lambda s: F.struct(
             (~is_numeric_size(s["size"])).alias("is_text"),
-            F.coalesce(s["size"].try_cast("int"), F.lit(0)).alias("num"),
+            s["size"].try_cast("decimal(38,0)").alias("num"),
             s["size"].alias("size"),
             s["status"].alias("status"),
         ),

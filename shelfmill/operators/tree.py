@@ -92,7 +92,11 @@ class _Shredder(HTMLParser):
         self.texts.append(self.pieces)
         self.errors.append(error)
         self.sizes.append(len(self.tags) - start)
-        self.objects.append(self._script_objects(start))
+        try:
+            found = self._script_objects(start)
+        except Exception as exc:  # too deeply nested to write out
+            found, self.errors[-1] = [], f"{type(exc).__name__}: {exc}"
+        self.objects.append(found)
 
     def _begin(self) -> None:
         self.reset()
@@ -201,11 +205,19 @@ class _Shredder(HTMLParser):
         self._flush()
         self._add("#comment", {}, data)
 
+    def handle_decl(self, decl: str) -> None:
+        self._flush()
+        self.kids[-1] += 1
+
+    handle_pi = handle_decl
+
     def unknown_decl(self, data: str) -> None:
+        self._flush()
         if data.upper().startswith("CDATA["):
-            self._flush()
             self.pending.append(data[6:])
             self._flush()
+        else:
+            self.kids[-1] += 1
 
     # -- results -------------------------------------------------------
     def _script_objects(self, start: int) -> list[dict]:

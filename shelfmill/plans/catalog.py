@@ -30,7 +30,7 @@ from ..operators.tables import (
 )
 from ..operators.tree import nodes, shred
 from ..rules import LINK, SiteProfile, css_class, equals, has, part, tag
-from ..session import configure, shared_folder
+from ..session import configure, cut, shared_folder
 from ..sources import rendered
 from ..sources.pages import balanced, read_pages, stream_pages
 from ..sources.tables import PRODUCT_COLUMNS, conform, run_timestamp, visited_keys
@@ -489,10 +489,10 @@ def first_link_labels(spark, sf):
 @query
 def link_counts(spark, sf):
     """A1, A2: per host, links counted once per page, and distinct links."""
-    pages = _pages(spark, sf)
-    found = extract_links(pages, TEST_SITE).withColumnRenamed("url", "link")
-    hosts = read_pages(spark, f"{sf}/pages.parquet").select("page_id", url_host("url").alias("host"))
-    return listed_and_distinct(found.join(hosts, "page_id"), ["host"], "page_id", "link")
+    tree = shred(_pages(spark, sf), profile=TEST_SITE)
+    found = tree.select("page_id", url_host("url").alias("host"), F.explode(page_links(TEST_SITE)).alias("k"))
+    hits = found.select("page_id", "host", F.col("k.url").alias("link"))
+    return listed_and_distinct(hits, ["host"], "page_id", "link")
 
 
 def _link_lists(spark: SparkSession, sf: str) -> DataFrame:
@@ -628,7 +628,7 @@ def shop_listings(spark, sf):
 def _crawl(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     pages = rendered.corpus(balanced(_table(spark, sf, "part")), balanced(_table(spark, sf, "supplier")))
     whole = SiteProfile(max_campaigns=None)
-    extracts = extract(pages, rendered.is_home(), whole).checkpoint()
+    extracts = cut(extract(pages, rendered.is_home(), whole), "extracts")
     return crawl_tables(extracts, RUN_TS, whole)
 
 

@@ -19,6 +19,7 @@ from ..operators.detail import complete_color, detail_columns
 from ..operators.tables import first_per_key, frontier, limit_per_key
 from ..operators.tree import shred
 from ..rules import DEFAULT_PROFILE, SiteProfile
+from ..session import cut
 from ..sources.tables import (
     CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, run_timestamp, stored_rows, visited_keys,
     write_campaigns, write_products,
@@ -107,7 +108,8 @@ def extract(
         F.when(home, campaign_cards(profile)).alias("cards"),
         F.when(campaign, subpages(url, profile)).alias("subpages"),
         F.when(campaign | listing, product_cards(profile)).alias("stubs"),
-        product.alias("is_product"),
+        home.alias("is_home"), campaign.alias("is_campaign"),
+        (campaign | listing).alias("is_listing"), product.alias("is_product"),
         *detail,
     )
 
@@ -120,9 +122,9 @@ def split(extracts: DataFrame) -> Extracts:
                "image_url", "sizes_status"]
     products = extracts.filter("is_product").select("page_id", "url", *details)
     return Extracts(
-        homes=extracts.filter("cards is not null").select("page_id", "url", "cards"),
-        campaigns=first(extracts.filter("subpages is not null").select("page_id", "url", "subpages")),
-        listings=first(extracts.filter("stubs is not null").select("page_id", "url", "stubs")),
+        homes=extracts.filter("is_home").select("page_id", "url", "cards"),
+        campaigns=first(extracts.filter("is_campaign").select("page_id", "url", "subpages")),
+        listings=first(extracts.filter("is_listing").select("page_id", "url", "stubs")),
         products=first(products).select("*", "price.*").drop("price"),
     )
 
@@ -233,22 +235,21 @@ def run(
 ) -> None:
     """Read pages, write both tables.
 
-    Extracts are checkpointed once (``spark.checkpoint.dir``), so pages are
-    parsed once. Products are written before campaigns: a campaign counts as
+    Extracts are written once to the shared folder, so pages are parsed once. Products are written before campaigns: a campaign counts as
     visited only when its products are stored. A run that is repeated after a
     loss between the two writes adds no product twice.
     """
     spark = pages.sparkSession
-    extracts = extract(pages, home, profile).checkpoint()
+    extracts = cut(extract(pages, home, profile), "extracts")
     visited = None if allow_duplicates else visited_keys(spark, campaigns_path, "campaign_url", fmt)
     campaigns, products = crawl_tables(extracts, run_ts, profile, visited, allow_duplicates)
     # The stored tables are read above and written below: fix the rows first.
-    campaigns = campaigns.checkpoint()
+    campaigns = cut(campaigns, "campaigns")
     stored = None if allow_duplicates else stored_rows(spark, products_path, fmt)
     if stored is not None:
-        products = products.join(
-            stored.select("campaign_url", "product_url"), ["campaign_url", "product_url"], "left_anti"
-        ).checkpoint()
+        known = stored.select("campaign_url", "product_url")
+        new = products.join(known, ["campaign_url", "product_url"], "left_anti")
+        products = cut(new, "products")
     write_products(products, products_path, fmt)
     if not campaigns.isEmpty():
         write_campaigns(campaigns, campaigns_path, fmt)

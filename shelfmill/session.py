@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -14,7 +15,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     # Parsing costs far more CPU per byte than a plain scan: smaller splits.
-    "spark.sql.files.maxPartitionBytes": "32m",
+    "spark.sql.files.maxPartitionBytes": "64m",
     # Page expressions are large; recording a call site per node costs seconds.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Pages are large rows: bound Arrow batches by rows too.
@@ -45,6 +46,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and go on from there. Unlike a
+    checkpoint, the table can be read column by column, and its size is known
+    when later joins are planned."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def build_session(app: str = "shelfmill", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

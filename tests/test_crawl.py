@@ -7,6 +7,7 @@ from shelfmill import SiteProfile
 from shelfmill.plans.crawl import (
     crawl_tables, extract, extract_details, extract_links, run,
 )
+from shelfmill.session import cut
 from shelfmill.sources.pages import balanced, read_pages, stream_pages
 from shelfmill.sources.tables import (
     CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, stored_rows, visited_keys, write_campaigns, write_products,
@@ -59,7 +60,7 @@ def rows(df, *columns):
 
 
 def test_tables_of_a_run(pages):
-    extracts = extract(pages, [f"{SITE}/"]).checkpoint()
+    extracts = cut(extract(pages, [f"{SITE}/"]), "extracts")
     campaigns, products = crawl_tables(extracts, TS)
     assert campaigns.columns == list(CAMPAIGN_COLUMNS) and products.columns == list(PRODUCT_COLUMNS)
     # Campaign 1: its own page, then each sub-page twice (tree and by URL).
@@ -79,7 +80,7 @@ def test_tables_of_a_run(pages):
 
 def test_limits(pages):
     tight = SiteProfile(max_campaigns=1, max_subpages=1, max_products=2)
-    extracts = extract(pages, [f"{SITE}/"], tight).checkpoint()
+    extracts = cut(extract(pages, [f"{SITE}/"], tight), "extracts")
     campaigns, products = crawl_tables(extracts, TS, tight)
     # Own page in front of the one sub-page; counts are whole, rows are cut.
     assert rows(campaigns, "campaign_id", "total_products_count", "unique_products_count") == [("1", 5, 4)]
@@ -110,7 +111,7 @@ def test_run_and_resume(spark, pages, tmp_path, fmt):
 def test_lost_run_adds_nothing_twice(spark, pages, tmp_path):
     """Products were stored, the campaign rows were not: run again."""
     paths = [str(tmp_path / n) for n in ("campaigns", "products")]
-    extracts = extract(pages, [f"{SITE}/"]).checkpoint()
+    extracts = cut(extract(pages, [f"{SITE}/"]), "extracts")
     write_products(crawl_tables(extracts, TS)[1], paths[1])
     run(pages, [f"{SITE}/"], *paths, TS)
     assert stored_rows(spark, paths[1]).count() == 5
@@ -171,7 +172,7 @@ def test_result_is_the_same_for_any_partitioning(spark, pages):
     seen = []
     for n in (1, 4, 16):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
-        extracts = extract(pages.repartition(n), [f"{SITE}/"]).checkpoint()
+        extracts = cut(extract(pages.repartition(n), [f"{SITE}/"]), "extracts")
         campaigns, products = crawl_tables(extracts, TS)
         seen.append((rows(campaigns, *CAMPAIGN_COLUMNS), rows(products, *PRODUCT_COLUMNS)))
     spark.conf.set("spark.sql.shuffle.partitions", "4")

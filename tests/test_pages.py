@@ -58,6 +58,13 @@ def test_bad_page_becomes_a_reject():
     assert reader.texts == [["a"], [], ["c"]]
 
 
+def test_script_text_that_no_column_can_hold(page_cases):
+    page_cases(F.size("objects"), [
+        ('<script type="application/json">{"color": "a\\ud83d", "\\ud83dx": {"size": "\\ud83d\\ude00"}}</script>', 2),
+        ('<script type="application/json">{"price": ' + "[" * 100000 + "</script>", 0),
+    ])
+
+
 def test_node_text(page_value):
     page = Page()
     text = lambda t: let(page.find(page.nodes, tag(t)), page.text)
