@@ -19,6 +19,8 @@ PRICE_PATTERNS = (
     rf"(?U)\b(\d{{1,4}}{SPACE}\d{{2}})\b",
 )
 GROUPED_PRICE = r"(?U)(?<![\d.,])(\d{1,3}(?:\.\d{3})+,\d{2}|\d{1,3}(?:,\d{3})+\.\d{2})(?!\d)"
+# What every pattern needs; most texts fail it, and one look is enough then.
+_PRICE_LIKE = rf"(?U)\d{SPACE}*[.,\s\x1c-\x1f]{SPACE}*\d{{2}}"
 MAX_PRICE = 10000
 SOURCE_BONUS = {"json": 60, "meta": 45, "local_node": 35, "local_text": 20, "page": 0}
 DISCOUNT_LOW, DISCOUNT_HIGH = 1, 95
@@ -63,7 +65,10 @@ def price_candidates(text: Column | str, profile: SiteProfile = DEFAULT_PROFILE)
     """Distinct prices of a text in pattern order, then text order."""
     text = as_col(text)
     patterns = ((GROUPED_PRICE,) if profile.strict_fix else ()) + PRICE_PATTERNS
-    hits = F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in patterns])
+    hits = F.when(
+        text.rlike(_PRICE_LIKE),
+        F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in patterns]),
+    )
     numbers = F.filter(F.transform(hits, _price_number), _bounded)
     found = F.array_distinct(F.transform(numbers, lambda v: F.round(v, 2)))
     return F.coalesce(found, F.array().cast("array<double>"))
@@ -119,18 +124,15 @@ def score_pair(
 ) -> Column:
     """How plausible a price pair is; -999 without a current price."""
     o, c, d = as_col(original), as_col(current), as_col(discount)
-    label = F.regexp_replace(d, "[-%]", "").try_cast("int")
+    label = F.translate(d, "-%", "").try_cast("int")
     gap = F.abs(discount_number(o, c) - label)
     off = F.try_divide(o - c, o)
     in_range = F.when(c.between(1, 5000), 10).otherwise(0)
     order = F.when(o.isNull(), 0).when(o >= c, 10).otherwise(-25)
     ratio = F.when(o.isNull() | (o <= c), 0).when(off.between(0.01, 0.95), 15).otherwise(-10)
-    agree = (
-        F.when(o.isNull() | gap.isNull(), 0)
-        .when(gap == 0, 40)
-        .when(gap <= 2, 25)
-        .when(gap <= 5, 10)
-        .otherwise(-30)
+    by_gap = F.get(F.array(*[F.lit(n) for n in (40, 25, 25, 10, 10, 10)]), gap)
+    agree = F.coalesce(
+        F.when(o.isNotNull(), F.coalesce(by_gap, F.when(gap.isNotNull(), -30))), F.lit(0)
     )
     return F.when(c.isNull(), -999).otherwise(
         source_bonus(source) + in_range + order + ratio + agree

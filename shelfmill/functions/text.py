@@ -10,11 +10,13 @@ from .columns import as_col, blank_to_null
 
 # Unicode white space plus the four separators that Java leaves out of \s.
 SPACE = r"[\s\x1c-\x1f]"
+# Every run of white space but a single blank, which can stay as it is.
+_UNEVEN_SPACE = r"(?U)[\s\x1c-\x1f]{2,}|[\s\x1c-\x1f&&[^ ]]"
 
 
 def clean_text(x: Column | str) -> Column:
     """Collapse runs of white space to one space and trim; null gives ''."""
-    spaced = F.regexp_replace(as_col(x), f"(?U){SPACE}+", " ")
+    spaced = F.regexp_replace(as_col(x), _UNEVEN_SPACE, " ")
     return F.coalesce(F.trim(spaced), F.lit(""))
 
 

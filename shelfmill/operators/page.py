@@ -70,6 +70,8 @@ def rank(n: Column, sels: Sequence[Sel], spans: Spans) -> Column:
     cases = F.when(matches(n, sels[0], spans), 0)
     for i, sel in enumerate(sels[1:], 1):
         cases = cases.when(matches(n, sel, spans), i)
+    if all(sel.attr for sel in sels):  # text and bare elements need no look
+        return F.when(F.size(n["attrs"]) > 0, cases)
     return cases
 
 

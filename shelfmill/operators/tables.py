@@ -135,15 +135,13 @@ def best_pair(
     scored = usable.select(
         *keys, *ord_, discount, source, high.alias("o"), F.least(original, current).alias("c")
     )
-    place = F.struct((-score_pair("o", "c", discount, source)).alias("rank"), *ord_)
-    best = scored.groupBy(*keys).agg(
-        F.min_by(F.struct("o", "c"), place).alias("best"), F.min(place)["rank"].alias("rank")
-    )
+    rank = (-score_pair("o", "c", discount, source)).alias("rank")
+    best = scored.groupBy(*keys).agg(F.min(F.struct(rank, *ord_, "o", "c")).alias("best"))
     return best.select(
         *keys,
         F.col("best.o").alias(original),
         F.col("best.c").alias(current),
-        (-F.col("rank")).alias("score"),
+        (-F.col("best.rank")).alias("score"),
     )
 
 

@@ -270,7 +270,7 @@ def url_forms(spark, sf):
 @query
 def clean_documents(spark, sf):
     """T1"""
-    return _table(spark, sf, "documents").select("doc_id", clean_text("text").alias("clean"))
+    return balanced(_table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", clean_text("text").alias("clean"))
 
 
 @query
@@ -343,7 +343,7 @@ def normalized_prices(spark, sf):
 @query
 def doc_prices(spark, sf):
     """T8, T9, T10, C11 on the documents' whole texts."""
-    found = _table(spark, sf, "documents").select("doc_id", price_candidates("text").alias("p"))
+    found = balanced(_table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", price_candidates("text").alias("p"))
     pair = price_pair("p")
     return found.select(
         "doc_id", F.size("p").alias("n_prices"),
@@ -352,18 +352,18 @@ def doc_prices(spark, sf):
     )
 
 
-_SOURCES = strings(("json", "meta", "local_node", "local_text", "page", "other", "json"))
+_SOURCES = ("json", "meta", "local_node", "local_text", "page", "other", "json")
 
 
 def _priced_lines(spark: SparkSession, sf: str) -> DataFrame:
     now = F.floor(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 10) / 100
     was = F.floor(F.col("l_extendedprice") * 10) / 100
     label = F.concat(F.lit("-"), (F.col("l_quantity") % 12).cast("int").cast("string"), F.lit("%"))
-    return _table(spark, sf, "lineitem").select(
+    return balanced(_table(spark, sf, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.when(F.col("l_returnflag") != "R", was).alias("original"), now.alias("current"),
         F.when(F.col("l_linestatus") == "F", label).otherwise("").alias("discount"),
-        F.get(_SOURCES, F.col("l_linenumber") - 1).alias("source"),
+        F.get(strings(_SOURCES), F.col("l_linenumber") - 1).alias("source"),
     )
 
 
@@ -462,7 +462,7 @@ def shortest_names(spark, sf):
 def json_walk(spark, sf):
     """Every object of the event properties, at any depth."""
     wrapped = F.concat(F.lit('[{"id": '), F.col("event_id").cast("string"), F.lit(', "in": '), "props", F.lit("}]"))
-    walked = _table(spark, sf, "events").select("event_id", F.inline(walk_json(wrapped)))
+    walked = balanced(_table(spark, sf, "events")).select("event_id", F.inline(walk_json(wrapped)))
     rows = walked.select("event_id", "obj", F.posexplode("members").alias("pos", "m"))
     scalar = rows.filter("m.kind != 'nested'")
     return scalar.select(
