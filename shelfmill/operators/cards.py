@@ -112,35 +112,46 @@ def card_end_date(page: Page, card: Column) -> Column:
     )
 
 
-_NAMED = "array<struct<rank:int,pre:int,url:string,name:string>>"
+_NAMED = "struct<rank:int,pre:int,url:string,name:string>"
 
 
 def _first_named(cards: Column, name_of: Callable[[Column], Column]) -> Column:
     """First named card per URL, by (rank, pre).
 
-    Cards arrive sorted by (url, rank, pre). A name is worked out only while
-    its URL is still unclaimed, so enclosing cards of a URL cost nothing.
+    Sorted by (url, rank, pre), the cards of a URL are one run. A name is
+    worked out only while its run has none yet, so the enclosing cards of a
+    URL cost nothing, and a page's runs together are as long as its cards.
     """
-    zero = F.expr(
-        f"named_struct('url', cast(null as string), 'done', false, 'kept', cast(array() as {_NAMED}))"
-    )
 
-    def step(acc: Column, c: Column) -> Column:
-        claim = lambda name: F.struct(
-            c["url"].alias("url"),
-            (name != "").alias("done"),
-            F.when(
-                name != "",
-                F.array_append(
-                    acc["kept"],
-                    F.struct(c["rank"], c["pre"], c["url"], name.alias("name")),
+    def first_of(run: Column) -> Column:
+        named = lambda c, name: F.when(
+            name != "", F.struct(c["rank"], c["pre"], c["url"], name.alias("name"))
+        )
+        return F.aggregate(
+            run,
+            F.lit(None).cast(_NAMED),
+            lambda found, c: F.when(found.isNotNull(), found).otherwise(
+                let(name_of(c), lambda name: named(c, name))
+            ),
+        )
+
+    def runs(s: Column) -> Column:
+        begins = F.array_compact(
+            F.transform(
+                s, lambda c, i: F.when((i == 0) | (c["url"] != F.get(s, i - 1)["url"]), i)
+            )
+        )
+        return let(
+            begins,
+            lambda b: F.transform(
+                b,
+                lambda at, j: first_of(
+                    F.slice(s, at + 1, F.coalesce(F.get(b, j + 1), F.size(s)) - at)
                 ),
-            ).otherwise(acc["kept"]).alias("kept"),
+            ),
         )
-        claimed = acc["done"] & (acc["url"] == c["url"])
-        return F.when(claimed, acc).otherwise(let(name_of(c), claim))
 
-    return F.array_sort(F.aggregate(F.array_sort(cards), zero, step)["kept"])
+    return F.array_sort(F.array_compact(let(F.array_sort(cards), runs)))
 
 
 def _card_urls(

@@ -360,13 +360,13 @@ def _size_areas(page: Page) -> Column:
     p = page.profile
 
     def near(n: Column) -> Column:
-        menu = _is_menu(n, p)
+        menu = matches_any(n, p.size_areas)
         up = page.parent(n)
         return F.array_compact(F.array(F.when(menu, n), up, page.parent(up)))
 
     seeds = F.filter(
         page.nodes,
-        lambda n: _is_menu(n, p)
+        lambda n: matches_any(n, p.size_areas)
         | (
             n["tag"].isin(*p.size_word_tags)
             & n["chars"].between(1, max(map(len, p.size_words)))
@@ -380,10 +380,6 @@ def _size_areas(page: Page) -> Column:
     return outermost(F.array_sort(F.array_distinct(spans)))
 
 
-def _is_menu(n: Column, p: SiteProfile) -> Column:
-    return matches_any(n, p.size_areas)
-
-
 def _strongest(pairs: Column) -> Column:
     """Per size, the highest stock priority (A5), from ``size, prio`` structs."""
     down = F.transform(pairs, lambda s: F.struct(s["size"].alias("size"), (-s["prio"]).alias("neg")))

@@ -20,18 +20,20 @@ Spans = dict[Sel, Column]
 
 
 def matches(n: Column, sel: Sel, spans: Spans | None = None) -> Column:
-    """Does a node pass the selector (D4, and D5 through ``spans``)?"""
+    """Does a node pass the selector (D4, and D5 through ``spans``)? The tests
+    are never null for a node, so that a failed one ends the evaluation."""
     tests = []
     if sel.tag:
         tests.append(n["tag"] == sel.tag)
     if sel.attr:
         value = n["attrs"][sel.attr]
+        no = F.lit(False)
         tests.append(
             {
                 "has": lambda: F.map_contains_key(n["attrs"], sel.attr),
-                "is": lambda: value == sel.value,
-                "part": lambda: value.contains(sel.value),
-                "word": lambda: F.array_contains(F.split(value, " "), sel.value),
+                "is": lambda: value.eqNullSafe(F.lit(sel.value)),
+                "part": lambda: F.coalesce(value.contains(sel.value), no),
+                "word": lambda: F.coalesce(F.array_contains(F.split(value, " "), sel.value), no),
             }[sel.how]()
         )
     if sel.inside:
@@ -76,10 +78,10 @@ def rank(n: Column, sels: Sequence[Sel], spans: Spans) -> Column:
 
 
 def matches_any(n: Column, sels: Sequence[Sel]) -> Column:
-    """Does a node pass one of the selectors? Never null."""
-    result = F.coalesce(matches(n, sels[0]), F.lit(False))
+    """Does a node pass one of the selectors?"""
+    result = matches(n, sels[0])
     for sel in sels[1:]:
-        result = result | F.coalesce(matches(n, sel), F.lit(False))
+        result = result | matches(n, sel)
     return result
 
 
