@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..rules import DEFAULT_PROFILE, SiteProfile
 from ..plans.crawl import extract_details, extract_links
+from ..rules import DEFAULT_PROFILE, SiteProfile
 
 
-def batch_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """Sink that writes batch ``n`` to its own folder. A batch that runs again
-    after a failure replaces its folder, so no row is stored twice."""
+SALTS = 32
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch={batch_id}")
 
-    return write
+def first_seen(rows: DataFrame, keys: list[str], row_id: str = "page_id") -> DataFrame:
+    """First row per key over the life of a stream. A stream cannot combine
+    rows before its shuffle, so copies of a hot key are first thinned out in
+    salted groups, each on its own task; one row per group is left to meet."""
+    salt = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).alias("__salt")
+    thinned = rows.select("*", salt).dropDuplicates([*keys, "__salt"])
+    return thinned.drop("__salt").dropDuplicates(keys)
 
 
 def stream_table(
     rows: DataFrame, path: str, checkpoint: str, keys: list[str], fmt: str = "parquet"
 ) -> StreamingQuery:
-    """Append the first row per key; stop when all present input is read. The
-    checkpoint remembers keys over restarts. For many keys, run with the
-    RocksDB state store."""
+    """Append the first row per key; stop when all present input is read.
+
+    The file sink commits each batch once, also after a failure. The
+    checkpoint remembers keys over restarts, so it takes the place of a
+    visited table. For many keys, run with the RocksDB state store.
+    """
     return (
-        rows.dropDuplicates(keys)
-        .writeStream.foreachBatch(batch_writer(path, fmt))
+        first_seen(rows, keys)
+        .writeStream.format(fmt)
+        .outputMode("append")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -12,7 +12,7 @@ from shelfmill.sources.pages import balanced, read_pages, stream_pages
 from shelfmill.sources.tables import (
     CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, stored_rows, visited_keys, write_campaigns, write_products,
 )
-from shelfmill.streaming.extract import stream_details, stream_links
+from shelfmill.streaming.extract import stream_details, stream_links, stream_table
 
 SITE = "https://shop.example.com"
 TS = "2024-05-01 12:00:00"
@@ -168,6 +168,16 @@ def test_batch_equals_stream(spark, pages, tmp_path):
     assert rows(spark.read.parquet(out), *columns) == rows(batch, *columns)
 
 
+def test_hot_key_in_a_stream(spark, tmp_path):
+    """A third of all rows share one key; each key comes out once."""
+    source = str(tmp_path / "in")
+    rows_in = spark.range(3000).selectExpr("id page_id", "if(id % 3 = 0, 'hot', concat('k', id % 50)) url", "'' html")
+    rows_in.repartition(6).write.parquet(source)
+    out = str(tmp_path / "out")
+    stream_table(stream_pages(spark, source, max_files=2), out, str(tmp_path / "s"), ["url"]).awaitTermination()
+    assert rows(spark.read.parquet(out), "url") == rows(rows_in.select("url").distinct(), "url")
+
+
 def test_result_is_the_same_for_any_partitioning(spark, pages):
     seen = []
     for n in (1, 4, 16):
