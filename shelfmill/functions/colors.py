@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..rules import DEFAULT_PROFILE, SiteProfile
 from .columns import any_of, as_col, let
-from .text import SPACE, clean_text
+from .text import clean_text
 
 
 def is_bad_color(x: Column | str, profile: SiteProfile = DEFAULT_PROFILE) -> Column:

@@ -25,8 +25,9 @@ def size_patterns(profile: SiteProfile = DEFAULT_PROFILE) -> tuple[str, ...]:
         rf"(?U){token}{gap}{region}{gap}-{gap}\1{gap}{region}{end}",
         rf"(?U){token}{gap}{region}{end}",
         rf"(?U)\b({letters})\b",
-        # A number is no size when € % . or , lies within 12 characters.
-        r"(?U)(?<![€%.,].{0,11})\b(1\d|2\d|3\d|4\d|50|51|52)\b(?!.{0,11}[€%.,])",
+        # A number is no size when € % . or , lies within 12 characters. The
+        # look back comes last, so that it runs at numbers only.
+        r"(?U)\b(1\d|2\d|3\d|4\d|50|51|52)\b(?!.{0,11}[€%.,])(?<![€%.,].{0,11}\d\d)",
     )
 
 

@@ -25,7 +25,6 @@ _PAIRS = (
     "array<struct<ord:struct<src:int,scope:int,sel:int,pre:int>,"
     "original:double,current:double,source:string>>"
 )
-_NO_STRINGS = "cast(array() as array<string>)"
 
 
 def detail_name(profile: SiteProfile = DEFAULT_PROFILE) -> Column:

@@ -236,10 +236,5 @@ class Page:
         return F.array_compact(F.array(*found))
 
 
-def text_at_least(page: Page, n: Column, chars: int) -> Column:
-    """The node's text when long enough, else null."""
-    return F.when(n["chars"] >= chars, page.text(n))
-
-
 def present(x: Column | str) -> Column:
     return blank_to_null(as_col(x))

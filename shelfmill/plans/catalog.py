@@ -5,14 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.colors import color_from_name, color_from_phrase, is_bad_color
 from ..functions.columns import let, strings
 from ..functions.jsonwalk import walk_json
 from ..functions.prices import (
-    discount_label, discount_number, discount_pct, format_price, normalize_price, price_candidates,
+    discount_label, discount_pct, format_price, normalize_price, price_candidates,
     price_pair, score_pair, source_bonus, to_float,
 )
 from ..functions.sizes import size_tokens, sorted_size_text, stock_status

@@ -22,7 +22,7 @@ PRODUCT_COLUMNS = (
 
 # Quotes doubled, empty text written as nothing: the usual CSV dialect.
 CSV_WRITE = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "encoding": "UTF-8"}
-CSV_READ = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+CSV_READ = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "multiLine": True}
 
 
 def conform(df: DataFrame, columns: Sequence[str], keep_types: Sequence[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from shelfmill.functions.columns import let
 from shelfmill.operators import cards, detail
 from shelfmill.operators.page import Page, outermost
 from shelfmill.operators.tree import _Shredder, nodes, rejects
-from shelfmill.rules import LINK, equals, part, tag
+from shelfmill.rules import LINK, part, tag
 
 SITE = "https://shop.example.com"
 
