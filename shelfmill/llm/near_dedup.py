@@ -15,13 +15,13 @@ from .common import PrefixHash, cut, filter_of, id_or_last, id_or_null, in_filte
 from .components import components
 
 SHINGLE, PERCENT = 5, 75
-# Registers, registers per band, base of the exponential spacing, offset of the
-# scale in nats. 32 bands of 4 miss a pair at similarity 0.75 in 5 of a million
+# Registers, bands, registers per band, base of the exponential spacing, offset of
+# the scale in nats. 32 bands of 4 miss a pair at similarity 0.75 in 5 of a million
 # cases; with this base unrelated sets of a size share a register in 1 of 4000.
-REGISTERS, BAND, BASE, OFFSET = 128, 4, 1.001, 4.0
+REGISTERS, BANDS, BAND, BASE, OFFSET = 512, 32, 4, 1.001, 4.0
 # A pair stays a candidate unless the best similarity of 0.75 or more is less
-# likely than the likeliest by so many nats (5.5 standard deviations).
-NATS = 15.0
+# likely than the likeliest by so many nats (4 standard deviations).
+NATS = 8.0
 BLOCK, FAN, FILTER_BITS = 1024, 256, 1 << 26
 
 
@@ -35,11 +35,11 @@ def sketch(values: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     multiplier, truncated to 16 bits. Registers of a union are the maxima of the
     parts' registers, so sketches merge."""
     least = np.full(len(multipliers), np.iinfo(np.uint64).max)
-    for at in range(0, len(values), 2048):
-        drawn = np.multiply.outer(multipliers, values[at : at + 2048])
-        drawn ^= drawn >> np.uint64(29)
-        drawn *= np.uint64(0x9E3779B97F4A7C15)
-        np.minimum(least, drawn.min(axis=1), out=least)
+    drawn = np.empty((64, len(multipliers)), dtype=np.uint64)
+    for at in range(0, len(values), 64):
+        part = values[at : at + 64]
+        np.multiply(part[:, None], multipliers[None], out=drawn[: len(part)])
+        np.minimum(least, drawn[: len(part)].min(axis=0), out=least)
     exponential = -np.log1p(-np.minimum(least.astype(np.float64) + 1.0, 2.0**64 - 2048) / 2.0**64)
     return np.clip(np.floor(1 - (np.log(exponential) - OFFSET) / math.log(BASE)), 0, 65535).astype("<u2")
 
@@ -106,6 +106,11 @@ def _registers(column) -> np.ndarray:
     return np.frombuffer(b"".join(parts), dtype="<u2").reshape(len(parts), -1)
 
 
+def _words(registers: np.ndarray) -> np.ndarray:
+    """The banded registers, a band in each 64-bit number."""
+    return np.ascontiguousarray(registers[:, : BANDS * BAND]).view("<i8")
+
+
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` that the sketches allow."""
     side = {x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}")) for x in "ab"}
@@ -129,7 +134,7 @@ def bands(classes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                values = _registers(batch.column("registers")).copy().view("<i8")
+                values = _words(_registers(batch.column("registers")))
                 n, m = values.shape
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(batch.column("id").to_numpy(), m)), pa.array(np.tile(np.arange(m, dtype=np.int32), n)),
@@ -168,19 +173,28 @@ def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> D
 
     def run(table: pa.Table) -> pa.Table:
         ids, comp, n, block = (table[c].to_numpy() for c in ("id", "component", "n", "block"))
-        registers = _registers(table["registers"]).astype(np.int32)
+        registers = _registers(table["registers"])
+        words, band = _words(registers), table["band"][0].as_py()
         same = table["i"][0].as_py() == table["j"][0].as_py()
         first = np.flatnonzero(block == table["i"][0].as_py())
         second = first if same else np.flatnonzero(block == table["j"][0].as_py())
-        out = []
+        out = [np.zeros((2, 0), np.int64)]
         for x in first:
             y = second[(comp[second] != comp[x]) & ((ids[second] > ids[x]) | (not same))]
+            # A pair is looked at in the first band that it shares.
+            y = y[(words[y] == words[x]).argmax(axis=1) == band] if len(y) else y
+            # Far below what the likelihood allows, by count alone.
+            y = y[(registers[y] == registers[x]).sum(axis=1) >= 0.62 * registers.shape[1]] if len(y) else y
             if len(y):
-                y = y[plausible(np.full(len(y), n[x]), n[y], np.broadcast_to(registers[x], (len(y), registers.shape[1])), registers[y])]
+                own = np.broadcast_to(registers[x].astype(np.int32), (len(y), registers.shape[1]))
+                y = y[plausible(np.full(len(y), n[x]), n[y], own, registers[y].astype(np.int32))]
                 out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
-        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        a, b = np.concatenate(out, axis=1)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+    # Blocks are small in bytes and long in work: keep them apart.
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(2 * width, "band", "value", "i", "j")
     return rows.groupBy("band", "value", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
