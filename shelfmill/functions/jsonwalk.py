@@ -49,23 +49,29 @@ def _storable(text: str) -> str:
     return text if text.isascii() else text.encode("utf-8", "replace").decode("utf-8")
 
 
-def members(obj: dict, keys: frozenset[str] | None) -> list[dict]:
-    """Members whose lower-cased key is wanted, values as text."""
+def members(obj: dict, keys: frozenset[str] | None, nested: frozenset[str] = frozenset()) -> list[dict]:
+    """Members whose lower-cased key is wanted, values as text. What a value
+    holds inside is members of its own, so it is not written out again, but
+    for the keys in ``nested``."""
     kind = {str: "text", bool: "flag", int: "number", float: "number", type(None): "null"}
-    return [
-        {"key": _storable(k), "value": _storable(str(v)), "kind": kind.get(type(v), "nested")}
-        for k, v in obj.items()
-        if keys is None or k.lower() in keys
-    ]
-
-
-def script_objects(script_type: str, text: str, keys: frozenset[str]) -> Iterator[tuple[int, list]]:
+    found = []
+    for k, v in obj.items():
+        if keys is None or k.lower() in keys:
+            sort = kind.get(type(v), "nested")
+            text = str(v) if sort != "nested" or k.lower() in nested else ""
+            found.append({"key": _storable(k), "value": _storable(text), "kind": sort})
+    return found
+
+
+def script_objects(
+    script_type: str, text: str, keys: frozenset[str], nested: frozenset[str] = frozenset()
+) -> Iterator[tuple[int, list]]:
     """``(part, members)`` of a script: part 0 is the whole text read as JSON,
     parts from 1 are flat ``{…}`` pieces of other scripts."""
     kind = script_type.lower()
     whole = load(text) if "json" in kind else []
     for obj in objects(whole):
-        yield 0, members(obj, keys)
+        yield 0, members(obj, keys, nested)
     if whole and kind.strip() == LINKED_DATA:
         return
     low = text.lower()
@@ -74,7 +80,7 @@ def script_objects(script_type: str, text: str, keys: frozenset[str]) -> Iterato
     for n, piece in enumerate(FLAT_OBJECT.findall(text), 1):
         if any(w in piece.lower() for w in FLAT_WORDS):
             for obj in objects(load(piece)):
-                yield n, members(obj, keys)
+                yield n, members(obj, keys, nested)
 
 
 def walk_json(col: Column | str) -> Column:

@@ -25,10 +25,15 @@ MAX_PRICE = 10000
 SOURCE_BONUS = {"json": 60, "meta": 45, "local_node": 35, "local_text": 20, "page": 0}
 DISCOUNT_LOW, DISCOUNT_HIGH = 1, 95
 # ---- end of fixed values ----
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER = rf"^\s*[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\s*$"
 
 
 def to_float(x: Column | str) -> Column:
-    return as_col(x).try_cast("double")
+    """Decimal text to a number; null for anything else, type suffixes too."""
+    x = as_col(x)
+    number = x.rlike(_NUMBER) | x.rlike(r"(?i)^\s*[+-]?(inf|infinity|nan)\s*$")
+    return F.when(number, F.regexp_replace(x, "_", "").try_cast("double"))
 
 
 def _bounded(value: Column) -> Column:
@@ -52,7 +57,7 @@ def _price_number(raw: Column) -> Column:
     )
     for pattern, repl in steps:
         raw = F.regexp_replace(raw, pattern, repl)
-    return to_float(raw)
+    return raw.try_cast("double")  # only digits, points and signs are left
 
 
 def normalize_price(raw: Column | str) -> Column:

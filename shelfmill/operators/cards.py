@@ -319,14 +319,14 @@ def _first_per_url(pairs: Column) -> Column:
 
 
 def listing_plan(
-    pairs: Column | str, campaign_url: Column | str, most: int = DEFAULT_PROFILE.max_subpages
+    pairs: Column | str, campaign_url: Column | str, most: int | None = DEFAULT_PROFILE.max_subpages
 ) -> Column:
-    """The first ``most`` sub-pages, and the campaign's own page in front when
+    """The first ``most`` sub-pages, or all, and the campaign's own page in front when
     they lack it (C25). One array per campaign page: no join is needed."""
     own = as_col(campaign_url)
     main = F.array(F.struct(own.alias("url"), F.lit(MAIN_LISTING).alias("label")))
     return let(
-        F.slice(as_col(pairs), 1, most),
+        as_col(pairs) if most is None else F.slice(as_col(pairs), 1, most),
         lambda kept: F.when(
             F.exists(kept, lambda p: same_url_key(p["url"]) == same_url_key(own)), kept
         ).otherwise(F.concat(main, kept)),

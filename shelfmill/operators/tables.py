@@ -20,10 +20,13 @@ def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence, name: str) -> D
 
 
 def limit_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence, n: int, position: str | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence, n: int | None, position: str | None = None
 ) -> DataFrame:
-    """First ``n`` rows per key (W2); ``order`` must be total. Each task keeps
-    at most ``n`` rows per key before the shuffle (``WindowGroupLimit``)."""
+    """First ``n`` rows per key (W2), ``None`` takes all; ``order`` must be total.
+    Each task keeps at most ``n`` rows per key before the shuffle
+    (``WindowGroupLimit``)."""
+    if n is None:
+        return df if position is None else with_position(df, keys, order, position)
     name = position or "__rank"
     kept = _ranked(df, keys, order, name).filter(F.col(name) <= n)
     return kept if position else kept.drop(name)

@@ -55,9 +55,9 @@ class _Shredder(HTMLParser):
     Positions (``parent``, ``last``, ``t0`` …) count from the page's start.
     """
 
-    def __init__(self, keys: frozenset[str]) -> None:
+    def __init__(self, keys: frozenset[str], nested: frozenset[str]) -> None:
         super().__init__(convert_charrefs=True)
-        self.keys = keys
+        self.keys, self.nested = keys, nested
         self.clear()
 
     def clear(self) -> None:
@@ -225,7 +225,7 @@ class _Shredder(HTMLParser):
         for at in range(start, len(self.tags)):
             if self.tags[at] == "script" and self.text[at]:
                 kind = self.attrs[at].get("type", "")
-                for part, kept in script_objects(kind, self.text[at], self.keys):
+                for part, kept in script_objects(kind, self.text[at], self.keys, self.nested):
                     if kept:
                         found.append(
                             {"script": at - start, "part": part, "ord": len(found), "members": kept}
@@ -271,10 +271,10 @@ def shred(
     keep = [c for c in pages.columns if c != html]
     added = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in TREE_TYPES.items()))
     schema = T.StructType([pages.schema[c] for c in keep] + added.fields)
-    keys = frozenset(profile.json_keys)
+    keys, nested = frozenset(profile.json_keys), frozenset(profile.color_keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Shredder(keys)
+        reader = _Shredder(keys, nested)
         for batch in batches:
             source, start = batch.column(len(keep)), 0
             for i in range(batch.num_rows):

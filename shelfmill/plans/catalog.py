@@ -627,9 +627,8 @@ def shop_listings(spark, sf):
 
 def _crawl(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     pages = rendered.corpus(balanced(_table(spark, sf, "part")), balanced(_table(spark, sf, "supplier")))
-    whole = SiteProfile(max_campaigns=None)
-    extracts = cut(extract(pages, rendered.is_home(), whole), "extracts")
-    return crawl_tables(extracts, RUN_TS, whole)
+    extracts = cut(extract(pages, rendered.is_home()), "extracts")
+    return crawl_tables(extracts, RUN_TS)
 
 
 @query

@@ -26,6 +26,11 @@ from ..sources.tables import (
 )
 
 
+# ---- fixed value: listings without a name are numbered ----
+UNNAMED_LISTING = "subpagina_"
+# ---- end of fixed values ----
+
+
 # -- one page kind at a time -------------------------------------------
 def extract_links(pages: DataFrame, profile: SiteProfile = DEFAULT_PROFILE) -> DataFrame:
     """Every link of every page."""
@@ -115,8 +120,9 @@ def extract(
 
 
 def split(extracts: DataFrame) -> Extracts:
-    """Per kind, the first capture of each URL. Copies of a page fall away
-    inside each task before anything is shuffled."""
+    """Per kind, the first capture of each URL that could be read. Copies of a
+    page fall away inside each task before anything is shuffled."""
+    extracts = extracts.filter("error is null")
     first = lambda df: first_per_key(df, ["url"], ["page_id"])
     details = ["detail_name", "description", "price", "color_before_name", "color_after_name",
                "image_url", "sizes_status"]
@@ -142,10 +148,17 @@ def campaign_frontier(
     )
 
 
-def listing_hits(
+STEP_COLUMNS = ("campaign_url", "name", "end_date", "page_pos", "url", "subcategory")
+STUB_COLUMNS = (
+    "campaign_url", "page_pos", "pos", "product_url", "product_name", "subcategory", "campaign_name",
+    "campaign_sector", "campaign_end_date",
+)
+
+
+def listing_steps(
     campaigns: DataFrame, pages: Extracts, profile: SiteProfile = DEFAULT_PROFILE
 ) -> tuple[DataFrame, DataFrame]:
-    """``(plans, hits)``: the listings of each campaign, and their products.
+    """``(plans, steps)``: the campaigns whose page is there, and their listings.
 
     A listing is joined by its own URL, whatever its place in the plan."""
     own = campaigns.join(pages.campaigns.select(F.col("url").alias("campaign_url"), "subpages"), "campaign_url")
@@ -156,11 +169,10 @@ def listing_hits(
         "campaign_url", "name", "end_date", "page_pos", F.col("step.url").alias("url"),
         F.coalesce(
             F.nullif("step.label", F.lit("")),
-            F.concat(F.lit("subpagina_"), (F.col("page_pos") + 1).cast("string")),
+            F.concat(F.lit(UNNAMED_LISTING), (F.col("page_pos") + 1).cast("string")),
         ).alias("subcategory"),
     )
-    hits = steps.join(pages.listings.select("url", "stubs"), "url")
-    return plans, hits
+    return plans, steps
 
 
 def product_stubs(hits: DataFrame) -> DataFrame:
@@ -199,13 +211,18 @@ def campaign_summary(
     )
 
 
+def chosen_stubs(stubs: DataFrame, profile: SiteProfile = DEFAULT_PROFILE) -> DataFrame:
+    """The products to complete: the limit per campaign comes before the join
+    with the product pages."""
+    chosen = limit_per_key(stubs, ["campaign_url"], ["page_pos", "pos"], profile.max_products)
+    return chosen.filter(is_http("product_url"))
+
+
 def product_rows(
-    stubs: DataFrame, details: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE
+    chosen: DataFrame, details: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE
 ) -> DataFrame:
-    """Product rows in sink order (C23): the limit per campaign comes before
-    the join with the product pages."""
-    chosen = limit_per_key(stubs, ["campaign_url"], ["page_pos", "pos"], profile.max_products)
-    full = product_details(details, chosen.filter(is_http("product_url")), profile)
+    """Product rows in sink order."""
+    full = product_details(details, chosen, profile)
     rows = full.select(
         "*",
         url_id("product_url", profile).alias("product_id"),
@@ -215,44 +232,87 @@ def product_rows(
     return conform(rows, PRODUCT_COLUMNS)
 
 
+@dataclass(frozen=True)
+class Pending:
+    """Open work: listings of known campaigns, and products, without a page."""
+
+    listings: DataFrame
+    products: DataFrame
+
+
+def crawl(
+    extracts: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE,
+    visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
+) -> tuple[DataFrame, DataFrame, Pending]:
+    """``(campaigns, products, pending)`` of a run. ``pending`` of an earlier run
+    is taken up first; limits hold within a run."""
+    pages = split(extracts)
+    new = campaign_frontier(pages.homes, visited, profile, allow_duplicates)
+    plans, steps = listing_steps(new, pages, profile)
+    every = steps if pending is None else steps.unionByName(pending.listings)
+    hits = every.join(pages.listings.select("url", "stubs"), "url")
+    stubs = product_stubs(hits)
+    chosen = chosen_stubs(stubs, profile)
+    if pending is not None:
+        both = chosen.unionByName(pending.products)
+        chosen = first_per_key(both, ["campaign_url", "product_url"], ["page_pos", "pos"])
+    fresh = hits.join(plans.select("campaign_url"), "campaign_url", "left_semi") if pending else hits
+    own = product_stubs(fresh) if pending else stubs
+    campaigns = campaign_summary(plans, fresh, own, run_ts, profile)
+    seen_products = pages.products.select(F.col("url").alias("product_url"))
+    left = Pending(
+        every.join(pages.listings.select("url"), "url", "left_anti").select(*STEP_COLUMNS),
+        chosen.join(seen_products, "product_url", "left_anti").select(*STUB_COLUMNS),
+    )
+    return campaigns.select(*CAMPAIGN_COLUMNS), product_rows(chosen, pages.products, run_ts, profile), left
+
+
 def crawl_tables(
     extracts: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE,
     visited: DataFrame | None = None, allow_duplicates: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(campaigns, products)`` of a run, as DataFrames."""
-    pages = split(extracts)
-    new = campaign_frontier(pages.homes, visited, profile, allow_duplicates)
-    plans, hits = listing_hits(new, pages, profile)
-    stubs = product_stubs(hits)
-    campaigns = campaign_summary(plans, hits, stubs, run_ts, profile)
-    return campaigns.select(*CAMPAIGN_COLUMNS), product_rows(stubs, pages.products, run_ts, profile)
+    return crawl(extracts, run_ts, profile, visited, allow_duplicates)[:2]
 
 
 def run(
     pages: DataFrame, home: Column | list[str], campaigns_path: str, products_path: str, run_ts: str,
     profile: SiteProfile = DEFAULT_PROFILE, fmt: str = "csv", allow_duplicates: bool = False,
-    rejects_path: str | None = None,
+    rejects_path: str | None = None, pending_path: str | None = None,
 ) -> None:
-    """Read pages, write both tables.
-
-    Extracts are written once to the shared folder, so pages are parsed once. Products are written before campaigns: a campaign counts as
-    visited only when its products are stored. A run that is repeated after a
-    loss between the two writes adds no product twice.
+    """Read pages, write both tables, the rejects and what is left open.
+
+    Extracts are written once to the shared folder, so pages are parsed once.
+    Products are written before campaigns: a campaign counts as visited only when
+    its products are stored or listed as open. Listings and products without a
+    readable page go to ``pending_path`` (by default beside the campaigns), and
+    the next run takes them up. Unreadable pages are appended to
+    ``rejects_path``. A run that is repeated after a loss between writes adds no
+    product twice. Home pages without any campaign are an error.
     """
     spark = pages.sparkSession
+    beside = campaigns_path.rstrip("/")
     extracts = cut(extract(pages, home, profile), "extracts")
+    bad = extracts.filter("error is not null").select("page_id", "url", "error")
+    bad.write.mode("append").parquet(rejects_path or f"{beside}-rejects")
+    if extracts.filter("is_home and size(cards) > 0").isEmpty():
+        raise ValueError("no campaign on the home pages")
     visited = None if allow_duplicates else visited_keys(spark, campaigns_path, "campaign_url", fmt)
-    campaigns, products = crawl_tables(extracts, run_ts, profile, visited, allow_duplicates)
+    open_ = Pending(*[stored_rows(spark, f"{pending_path or f'{beside}-pending'}/{n}", "parquet") for n in ("listings", "products")])
+    pending = open_ if open_.listings is not None and open_.products is not None else None
+    campaigns, products, left = crawl(extracts, run_ts, profile, visited, allow_duplicates, pending)
     # The stored tables are read above and written below: fix the rows first.
     campaigns = cut(campaigns, "campaigns")
+    left = Pending(cut(left.listings, "listings"), cut(left.products, "products"))
     stored = None if allow_duplicates else stored_rows(spark, products_path, fmt)
     if stored is not None:
         known = stored.select("campaign_url", "product_url")
         new = products.join(known, ["campaign_url", "product_url"], "left_anti")
         products = cut(new, "products")
+    else:
+        products = cut(products, "products")
     write_products(products, products_path, fmt)
+    for name, table in (("listings", left.listings), ("products", left.products)):
+        table.write.mode("overwrite").parquet(f"{pending_path or f'{beside}-pending'}/{name}")
     if not campaigns.isEmpty():
         write_campaigns(campaigns, campaigns_path, fmt)
-    if rejects_path:
-        bad = extracts.filter("error is not null").select("page_id", "url", "error")
-        bad.write.mode("append").parquet(rejects_path)

@@ -330,6 +330,5 @@ def all_oracles() -> dict[str, str]:
                    '{_RUN_TS}' AS extraction_timestamp
             FROM (SELECT s_suppkey, part_key, arg_min(label, (page, pos)) AS label FROM ({_STUBS})
                   GROUP BY s_suppkey, part_key) s
-            JOIN ({_DETAIL}) d ON d.p_partkey = s.part_key
-            WHERE s.part_key - s_suppkey * 20 < 25""",
+            JOIN ({_DETAIL}) d ON d.p_partkey = s.part_key""",
     }

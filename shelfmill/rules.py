@@ -189,11 +189,6 @@ IMAGES = (
     css_class("styles__MainImg-groot__sc-80bee9f7-1"),
 )
 
-# Job limits
-MAX_CAMPAIGNS = 999
-MAX_SUBPAGES = 20
-MAX_PRODUCTS = 25
-
 # ---- end of fixed values ----
 
 
@@ -253,9 +248,10 @@ class SiteProfile:
     last_unit_words: tuple[str, ...] = LAST_UNIT_WORDS
     low_stock_words: tuple[str, ...] = LOW_STOCK_WORDS
     images: tuple[Sel, ...] = IMAGES
-    max_campaigns: int | None = MAX_CAMPAIGNS
-    max_subpages: int = MAX_SUBPAGES
-    max_products: int = MAX_PRODUCTS
+    # Job limits; None takes all.
+    max_campaigns: int | None = None
+    max_subpages: int | None = None
+    max_products: int | None = None
     json_keys: tuple[str, ...] = field(default=())
 
     def __post_init__(self) -> None:

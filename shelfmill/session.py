@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -32,15 +33,17 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-    shared_folder(spark)
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder for checkpoints and cut-off tables. Only
-    where none is named, as in tests, a local one is made."""
+    """The cluster's shared folder for checkpoints and cut-off tables. Where none
+    is named, one is made if all tasks run in this process, and else it is an
+    error: executors would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         folder = tempfile.mkdtemp(prefix="shelfmill-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

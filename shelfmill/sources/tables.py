@@ -57,10 +57,13 @@ def write_products(df: DataFrame, path: str, fmt: str = "csv", mode: str = "appe
     _append(conform(df, PRODUCT_COLUMNS), path, fmt, mode)
 
 
-def stored_rows(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame | None:
-    """A stored table, or ``None`` when nothing is there. Broken files are
-    skipped, so what can be read is read."""
-    reader = spark.read.format(fmt).option("ignoreCorruptFiles", True)
+def stored_rows(
+    spark: SparkSession, path: str, fmt: str = "csv", skip_corrupt: bool = False
+) -> DataFrame | None:
+    """A stored table, or ``None`` when nothing is there. A broken file fails
+    the read, as rows lost from a history would be crawled again; only
+    ``skip_corrupt`` reads the rest."""
+    reader = spark.read.format(fmt).option("ignoreCorruptFiles", skip_corrupt)
     if fmt == "csv":
         reader = reader.options(**CSV_READ)
     try:

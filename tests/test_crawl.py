@@ -108,6 +108,45 @@ def test_run_and_resume(spark, pages, tmp_path, fmt):
     assert stored(1).filter("product_id = '1'").first().color == expected
 
 
+def test_open_work_is_taken_up(spark, pages, tmp_path):
+    """A listing and products that were not captured at first are completed."""
+    paths = [str(tmp_path / n) for n in ("campaigns", "products")]
+    late = F.col("url").isin(f"{SITE}/catalog/1/b", f"{SITE}/p/2")
+    run(pages.filter(~late), [f"{SITE}/"], *paths, TS)
+    assert rows(stored_rows(spark, paths[1]), "campaign_id", "product_id") == [("1", "1"), ("1", "3"), ("2", "1")]
+    left = lambda name: stored_rows(spark, f"{paths[0]}-pending/{name}", "parquet")
+    # The sub-page stands twice in the plan; product 4 is never captured.
+    assert {r.url for r in left("listings").collect()} == {f"{SITE}/catalog/1/b"}
+    assert rows(left("products"), "product_url") == [(f"{SITE}/p/2",), (f"{SITE}/p/4",)]
+    run(pages.filter(late | F.col("url").isin(f"{SITE}/", f"{SITE}/p/5")), [f"{SITE}/"], *paths, TS)
+    assert rows(stored_rows(spark, paths[1]), "campaign_id", "product_id") == [
+        ("1", "1"), ("1", "2"), ("1", "3"), ("1", "5"), ("2", "1")]
+    assert left("listings").count() == 0 and rows(left("products"), "product_url") == [(f"{SITE}/p/4",)]
+    assert stored_rows(spark, paths[0]).count() == 3
+
+
+def test_unread_capture_hides_nothing(spark, tmp_path):
+    bad = "<![foo[bar]]>"
+    captures = [(f"{SITE}/", card("/catalog/1", "Uno")), (f"{SITE}/catalog/1", bad), (f"{SITE}/catalog/1", listing(1)),
+                (f"{SITE}/p/1", bad), (f"{SITE}/p/1", product(1, "Producto 1"))]
+    frame = spark.createDataFrame([(i, *c) for i, c in enumerate(captures)], "page_id long, url string, html string")
+    paths = [str(tmp_path / n) for n in ("campaigns", "products")]
+    run(frame, [f"{SITE}/"], *paths, TS)
+    assert rows(stored_rows(spark, paths[1]), "product_name", "original_price") == [("Producto 1", "3.00")]
+    bad = extract(frame, [f"{SITE}/"]).filter("error is not null").count()
+    assert stored_rows(spark, f"{paths[0]}-rejects", "parquet").count() == bad
+
+
+def test_no_campaign_is_an_error(spark, tmp_path):
+    frame = spark.createDataFrame([(1, f"{SITE}/", "<p>closed</p>")], "page_id long, url string, html string")
+    with pytest.raises(ValueError, match="no campaign"):
+        run(frame, [f"{SITE}/"], str(tmp_path / "c"), str(tmp_path / "p"), TS)
+
+
+def test_no_limits_by_default():
+    assert (SiteProfile().max_campaigns, SiteProfile().max_subpages, SiteProfile().max_products) == (None, None, None)
+
+
 def test_lost_run_adds_nothing_twice(spark, pages, tmp_path):
     """Products were stored, the campaign rows were not: run again."""
     paths = [str(tmp_path / n) for n in ("campaigns", "products")]

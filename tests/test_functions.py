@@ -82,6 +82,15 @@ def test_price_pair(values):
 
 def test_format_and_cast(spark, values):
     assert values(["1.5", "x", None], to_float) == [1.5, None, None]
+    texts = ["1d", "2f", "1_000", "_1", "1__0", " 7 ", "1e3", ".5", "5.", ".", "-2.5", "0x1p3", "", "1L"]
+
+    def standard(text):
+        try:
+            return float(text)
+        except ValueError:
+            return None
+
+    assert values(texts, to_float) == [standard(t) for t in texts]
     as_price = lambda c: format_price(F.col(c).try_cast("double"))
     assert values(["1234567.5", None, "0.005"], as_price)[:2] == ["1234567.50", ""]
 
