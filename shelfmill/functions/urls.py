@@ -13,13 +13,15 @@ from .columns import any_of, as_col, blank_to_null, let
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 
 
-# A path without authority that holds '.' or '..', or a relative one with '//'.
-_UNTIDY = r"^(?!//)(?:[^?#]*/)?\.\.?(?:[/?#]|$)|^[^/?#][^?#]*//"
+# A path that holds '.' or '..', or a relative one with '//'; parameters of its
+# last segment don't belong to it.
+_UNTIDY = r"^(?:[^?#]*/)?\.\.?(?:[/?#]|;[^/?#]*(?:[?#]|$)|$)|^[^/?#][^?#]*//"
+_PATH = r"^((?:[^?#]*/)?[^/;?#]*)"
 
 
 def _tidy_path(link: Column, origin: str) -> Column:
     """RFC 3986 removal of '.' and '..' from a link without authority."""
-    path = F.regexp_extract(link, r"^([^?#]*)", 1)
+    path = F.regexp_extract(link, _PATH, 1)
     rooted = F.when(path.startswith("/"), path).otherwise(
         F.regexp_replace(F.concat(F.lit("/"), path), "/{2,}", "/")
     )
@@ -34,7 +36,7 @@ def _tidy_path(link: Column, origin: str) -> Column:
     # A last '.' or '..' names a folder, so the path ends in '/'.
     marked = F.regexp_replace(rooted, r"(/\.\.?)$", "$1/")
     clean = F.array_join(kept(F.split(marked, "/")), "/")
-    tail = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+    tail = F.regexp_extract(link, rf"(?s){_PATH}(.*)$", 2)
     return F.concat(F.lit(f"{origin}/"), F.regexp_replace(clean, "^/", ""), tail)
 
 
@@ -43,19 +45,29 @@ def resolve_url(href: Column | str, base: str = DEFAULT_PROFILE.base_url) -> Col
     raw = as_col(href)
     root = urlsplit(base)
     scheme, origin = root.scheme, f"{root.scheme}://{root.netloc}"
-    # White space, the base's own scheme, empty fragment and empty query go.
-    rest = F.regexp_replace(raw, r"^[\x00-\x20]+|[\t\r\n]", "")
-    rest = F.regexp_replace(rest, rf"^(?i:{scheme}):|#$|\?#?$|\?(?=#)", "")
-    rest = F.regexp_replace(rest, r"^//(?=[/?#]|$)", "")
-    simple = F.regexp_replace(rest, "^//", f"{scheme}://")
-    simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=[/?#]|$)", origin)
-    simple = F.regexp_replace(simple, rf"^(?!{_SCHEME}:)(?=.)", f"{origin}/")
-    other = raw.rlike(rf"^[\x00-\x20]*(?!(?i:{scheme}):){_SCHEME}:")
+    # White space and the base's own scheme go; what follows that is relative.
+    bare = F.regexp_replace(raw, r"^[\x00-\x20]+|[\t\r\n]", "")
+    own = bare.rlike(rf"^(?i:{scheme}):")
+    rest = F.regexp_replace(bare, rf"^(?i:{scheme}):", "")
+    # An empty fragment, query and parameter go, each only where it begins.
+    for empty in (
+        r"^([^#]*)#$", r"^([^?#]*)\?(?=#|$)",
+        r"^(?!//[^/?#]+(?:[?#]|$))((?:[^?#]*/)?[^/;?#]*);(?=[?#]|$)",
+    ):
+        rest = F.regexp_replace(rest, empty, "$1")
+
+    def joined(rest: Column) -> Column:
+        local = F.regexp_replace(rest, r"^//(?=[/?#]|$)", "")
+        return F.when(rest.rlike(r"^//[^/?#]"), F.concat(F.lit(f"{scheme}:"), rest)).otherwise(let(
+            local, lambda path: F.when(path.rlike(_UNTIDY), _tidy_path(path, origin))
+            .when(path.rlike(r"^(?:[/?#]|$)"), F.concat(F.lit(origin), path))
+            .otherwise(F.concat(F.lit(f"{origin}/"), path)),
+        ))
+
     return (
         F.when(raw.isNull() | (raw == ""), "")
-        .when(other, raw)
-        .when(rest.rlike(_UNTIDY), let(rest, lambda r: _tidy_path(r, origin)))
-        .otherwise(simple)
+        .when(~own & bare.rlike(rf"^{_SCHEME}:"), raw)
+        .otherwise(let(rest, joined))
     )
 
 

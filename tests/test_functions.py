@@ -197,12 +197,16 @@ def test_resolve_url(values):
 
 def test_resolve_url_against_the_standard_library(values):
     import itertools
+    import random
     from urllib.parse import urljoin
 
     parts = ["a", "..", ".", "", "b.html", "x?q=1", "y#f"]
     hrefs = ["/".join(p) for n in (1, 2, 3) for p in itertools.product(parts, repeat=n)]
     hrefs += ["/" + h for h in hrefs if not h.startswith("/")]
-    hrefs = [h for h in dict.fromkeys(hrefs + ["///x", "//?q", " "]) if h]
+    draw = random.Random(3)
+    atoms = ["/", "//", "a", "b.c", "..", ".", "?", "#", "x=1", "http:", "https:", "HTTPS:", "mailto:", ";", "h.com", " ", "é", "&", ":"]
+    hrefs += ["".join(draw.choices(atoms, k=draw.randint(1, 6))) for _ in range(3000)]
+    hrefs = [h for h in dict.fromkeys(hrefs + ["///x", "//?q", " ", "////h.com"]) if h]
     expected = [urljoin("https://shop.example.com", h) for h in hrefs]
     got = values(hrefs, resolve_url)
     assert [x for x in zip(hrefs, got, expected) if x[1] != x[2]] == []
