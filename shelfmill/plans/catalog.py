@@ -114,11 +114,11 @@ def conformed_products(spark, sf):
 
 @query
 def streamed_links(spark, sf):
-    """S2, S4, ST1: distinct link targets, read as a stream to a table."""
+    """S2, ST1: the first link to each target, read as a stream to a table."""
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     stream = stream_pages(spark, f"{sf}/pages*.parquet")
     stream_links(stream, f"{base}/rows", f"{base}/state", TEST_SITE).awaitTermination()
-    return spark.read.parquet(f"{base}/rows").select("url")
+    return spark.read.parquet(f"{base}/rows").select("url", "page_id", "pos", "label")
 
 
 # -- trees and selections ----------------------------------------------
@@ -578,7 +578,7 @@ def run_counters(spark, sf):
 
 @query
 def appended_orders(spark, sf):
-    """E2s, E4s: union of two sources in order, repeats kept."""
+    """E2s: union of two sources in order, repeats kept."""
     open_ = _orders(spark, sf).filter("o_orderstatus = 'O'").select("o_orderkey", F.lit(0).alias("src"))
     big = _orders(spark, sf).filter("o_totalprice > 200000").select("o_orderkey", F.lit(1).alias("src"))
     return open_.unionByName(big)
@@ -593,7 +593,7 @@ def page_names(spark, sf):
 
 @query
 def shop_details(spark, sf):
-    """Whole product pages."""
+    """Whole product pages."""
     pages = _product_pages(spark, sf)
     stubs = _table(spark, sf, "part").select(
         F.concat(F.lit(f"{rendered.SITE}/p/"), F.col("p_partkey").cast("string")).alias("product_url"),
@@ -604,7 +604,7 @@ def shop_details(spark, sf):
 
 @query
 def shop_campaigns(spark, sf):
-    """Campaign cards of the home pages."""
+    """Campaign cards of the home pages."""
     pages = _shop_pages(spark, sf).filter(rendered.is_home())
     return extract_campaigns(pages).select("page_id", "pos", "name", "url", "end_date")
 

@@ -149,7 +149,9 @@ def all_oracles() -> dict[str, str]:
                    '' AS discount_price, '' AS discount_percentage,
                    CASE WHEN p_type = 'ECONOMY' THEN '' ELSE p_type END AS color, '' AS sizes_status,
                    '' AS image_url, '{_RUN_TS}' AS extraction_timestamp FROM part""",
-        "streamed_links": f"SELECT DISTINCT url FROM ({_LINK_ROWS})",
+        "streamed_links": f"""
+            SELECT url, page_id, pos, label FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id, pos) AS rn
+            FROM ({_LINK_ROWS})) WHERE rn = 1""",
         "node_counts": f"""
             SELECT page_id, {_tags('a')} AS n_a, {_tags('li')} AS n_li, {_tags('h1')} AS n_h1, {_tags('p')} AS n_p,
                    {_tags('br')} AS n_br, {_tags('script')} AS n_script FROM pages""",

@@ -2,40 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.tables import first_per_key
 from ..plans.crawl import extract_details, extract_links
 from ..rules import DEFAULT_PROFILE, SiteProfile
-
-
-SALTS = 32
-
-
-def first_seen(rows: DataFrame, keys: list[str], row_id: str = "page_id") -> DataFrame:
-    """First row per key over the life of a stream. A stream cannot combine
-    rows before its shuffle, so copies of a hot key are first thinned out in
-    salted groups, each on its own task; one row per group is left to meet."""
-    salt = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).alias("__salt")
-    thinned = rows.select("*", salt).dropDuplicates([*keys, "__salt"])
-    return thinned.drop("__salt").dropDuplicates(keys)
+from ..sources.tables import stored_rows
 
 
 def stream_table(
-    rows: DataFrame, path: str, checkpoint: str, keys: list[str], fmt: str = "parquet"
+    rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: Sequence[str] = ("page_id",),
 ) -> StreamingQuery:
-    """Append the first row per key; stop when all present input is read.
+    """Append the first row per key, by ``order``; stop when all present input is
+    read. Keys that an earlier batch stored are left out.
 
-    The file sink commits each batch once, also after a failure. The
-    checkpoint remembers keys over restarts, so it takes the place of a
-    visited table. For many keys, run with the RocksDB state store.
+    Each batch is a folder ``batch=<number>`` of Parquet files and is written
+    whole, so a batch that is repeated after a failure replaces itself. What is
+    known of a key is the table itself: no state grows in memory. A task sends at
+    most one row per key, so a hot key is no hot task.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        new = first_per_key(batch, keys, list(order))
+        stored = stored_rows(batch.sparkSession, path, "parquet")
+        if stored is not None and "batch" in stored.columns:
+            earlier = stored.filter(F.col("batch") < number).select(*keys).distinct()
+            new = new.join(earlier, keys, "left_anti").select(*batch.columns)
+        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
     return (
-        first_seen(rows, keys)
-        .writeStream.format(fmt)
-        .outputMode("append")
-        .option("path", path)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -53,5 +53,5 @@ def stream_details(
 def stream_links(
     pages: DataFrame, path: str, checkpoint: str, profile: SiteProfile = DEFAULT_PROFILE
 ) -> StreamingQuery:
-    """Distinct link targets of a page stream."""
-    return stream_table(extract_links(pages, profile), path, checkpoint, ["url"])
+    """The first link to each target of a page stream."""
+    return stream_table(extract_links(pages, profile), path, checkpoint, ["url"], ["page_id", "pos"])

@@ -217,6 +217,18 @@ def test_hot_key_in_a_stream(spark, tmp_path):
     assert rows(spark.read.parquet(out), "url") == rows(rows_in.select("url").distinct(), "url")
 
 
+def test_lowest_capture_wins_in_a_stream(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    many = spark.range(1, 41).selectExpr("41 - id page_id", "'u' url", "cast(id as string) html")
+    many.repartition(5).write.parquet(source)
+    go = lambda: stream_table(stream_pages(spark, source), out, str(tmp_path / "s"), ["url"]).awaitTermination()
+    go()
+    assert rows(spark.read.parquet(out), "page_id", "html") == [(1, "40")]
+    many.withColumn("html", F.lit("later")).write.mode("append").parquet(source)
+    go()
+    assert rows(spark.read.parquet(out), "page_id", "html") == [(1, "40")]
+
+
 def test_result_is_the_same_for_any_partitioning(spark, pages):
     seen = []
     for n in (1, 4, 16):
