@@ -55,7 +55,7 @@ class _Shredder(HTMLParser):
     Positions (``parent``, ``last``, ``t0`` …) count from the page's start.
     """
 
-    def __init__(self, keys: frozenset[str], nested: frozenset[str]) -> None:
+    def __init__(self, keys: frozenset[str], nested: frozenset[str] = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
         self.keys, self.nested = keys, nested
         self.clear()

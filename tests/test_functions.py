@@ -240,3 +240,28 @@ def test_url_id(values):
         f"{site}/campaign/nike?x=1": "nike", f"{site}/p/77?c=1": "77", f"{site}/a/b.html": "b.html", site: "",
         f"{site}/catalog/12/": "12", "": "", None: "", f"{site}/a/b;v=1": "b", f"{site}/a/b/": "b",
     })
+
+
+def test_nested_json_stays_linear():
+    """Members of a deep script take about as much room as the script."""
+    from shelfmill.functions.jsonwalk import script_objects
+
+    deep = '{"price": ' * 900 + "1" + "}" * 900
+    found = [m for _, kept in script_objects("application/json", deep, frozenset({"price", "color"}), frozenset({"color"})) for m in kept]
+    assert len(found) == 900 and sum(len(m["value"]) for m in found) <= len(deep)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from shelfmill.session import shared_folder
+
+    made = []
+    session = lambda master: SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=made.append),
+    )
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+    assert shared_folder(session("local[2]")) == made[0]
