@@ -625,19 +625,19 @@ def shop_listings(spark, sf):
     )
 
 
-def _crawl(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _crawl(spark: SparkSession, sf: str, products: bool) -> tuple[DataFrame, DataFrame]:
     pages = rendered.corpus(balanced(_table(spark, sf, "part")), balanced(_table(spark, sf, "supplier")))
-    extracts = cut(extract(pages, rendered.is_home()), "extracts")
+    extracts = cut(extract(pages, rendered.is_home(), products=products), "extracts")
     return crawl_tables(extracts, RUN_TS)
 
 
 @query
 def crawl_campaigns(spark, sf):
     """Campaign rows of a whole run."""
-    return _crawl(spark, sf)[0]
+    return _crawl(spark, sf, products=False)[0]
 
 
 @query
 def crawl_products(spark, sf):
     """Product rows of a whole run."""
-    return _crawl(spark, sf)[1]
+    return _crawl(spark, sf, products=True)[1]

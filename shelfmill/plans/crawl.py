@@ -94,17 +94,20 @@ class Extracts:
 
 
 def extract(
-    pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE
+    pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE,
+    products: bool = True,
 ) -> DataFrame:
     """One pass over the pages: per page, only the parts its URL calls for.
-    ``home`` names the home pages, by URL or by a condition.
+    ``home`` names the home pages, by URL or by a condition. Without
+    ``products``, product pages are neither parsed nor looked into; campaign
+    rows need none of them.
 
     No shuffle. The result has no HTML and is what later steps join.
     """
     url = F.col("url")
     home = url.isin(*home) if isinstance(home, list) else home
     campaign, listing = is_campaign_url(url, profile), is_listing_url(url, profile)
-    product = is_product_url(url, profile)
+    product = is_product_url(url, profile) & F.lit(products)
     wanted = pages.select("page_id", "url", "html").filter(home | campaign | listing | product)
     tree = shred(wanted, profile=profile)
     detail = [F.when(product, c).alias(n) for n, c in detail_columns(profile).items()]
