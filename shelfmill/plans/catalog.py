@@ -16,6 +16,7 @@ from ..functions.prices import (
     price_pair, score_pair, source_bonus, to_float,
 )
 from ..functions.sizes import size_tokens, sorted_size_text, stock_status
+from ..functions.sql import register
 from ..functions.text import clean_text, end_date_text, few_words, word_count
 from ..functions.urls import (
     is_blocked_url, is_campaign_url, is_http, is_listing_url, is_product_url, is_site_url, page_kinds,
@@ -36,8 +37,8 @@ from ..sources.pages import balanced, read_pages, stream_pages
 from ..sources.tables import PRODUCT_COLUMNS, conform, run_timestamp, visited_keys
 from ..streaming.extract import stream_links
 from .crawl import (
-    crawl_tables, extract, extract_campaigns, extract_details, extract_links, extract_products,
-    extract_subpages, product_details,
+    PARTS, crawl_tables, extract, extract_campaigns, extract_chosen, extract_details, extract_links,
+    extract_products, extract_subpages, product_details, run,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,7 +267,30 @@ def url_forms(spark, sf):
     )
 
 
+@query
+def sql_urls(spark, sf):
+    """U4-U6, U8, U10 called from SQL."""
+    register(spark, TEST_SITE)
+    return spark.sql(
+        """SELECT page_id, is_campaign_url(url) AS campaign, is_listing_url(url) AS listing,
+                  is_product_url(url) AS product, url_id(url) AS id, url_host(url) AS host FROM {pages}""",
+        pages=read_pages(spark, f"{sf}/pages.parquet"),
+    )
+
+
 # -- text and prices ---------------------------------------------------
+@query
+def sql_texts(spark, sf):
+    """T1, T3, T4, T7 called from SQL."""
+    register(spark)
+    return spark.sql(
+        """SELECT p_partkey, clean_text(concat('  ', p_name, ' ')) AS clean, word_count(p_name) AS words,
+                  discount_label(concat(p_name, ' -', p_partkey % 130, ' % y -15%')) AS label,
+                  normalize_price(concat('€ ', p_size, ' , 50')) AS price FROM {part}""",
+        part=_table(spark, sf, "part"),
+    )
+
+
 @query
 def clean_documents(spark, sf):
     """T1"""
@@ -625,19 +649,50 @@ def shop_listings(spark, sf):
     )
 
 
-def _crawl(spark: SparkSession, sf: str, products: bool) -> tuple[DataFrame, DataFrame]:
-    pages = rendered.corpus(balanced(_table(spark, sf, "part")), balanced(_table(spark, sf, "supplier")))
-    extracts = cut(extract(pages, rendered.is_home(), products=products), "extracts")
-    return crawl_tables(extracts, RUN_TS)
+def _corpus(spark: SparkSession, sf: str) -> DataFrame:
+    return rendered.corpus(balanced(_table(spark, sf, "part")), balanced(_table(spark, sf, "supplier")))
 
 
 @query
 def crawl_campaigns(spark, sf):
-    """Campaign rows of a whole run."""
-    return _crawl(spark, sf, products=False)[0]
+    """Campaign rows of a whole run; they need no product page."""
+    found = extract(_corpus(spark, sf), rendered.is_home(), parts=PARTS[:3])
+    return crawl_tables(cut(found, "extracts"), RUN_TS)[0]
 
 
 @query
 def crawl_products(spark, sf):
-    """Product rows of a whole run."""
-    return _crawl(spark, sf, products=True)[1]
+    """Product rows of a whole run, each stage's pages chosen by the one before."""
+    return crawl_tables(extract_chosen(_corpus(spark, sf), rendered.is_home()), RUN_TS)[1]
+
+
+def _runs(spark: SparkSession, sf: str, *captured: DataFrame) -> str:
+    """Folder of the tables after runs over these pages, one after another."""
+    base = f"{shared_folder(spark)}/crawl-{uuid.uuid4().hex}"
+    for pages in captured:
+        run(pages, rendered.is_home(), f"{base}/campaigns", f"{base}/products", RUN_TS, fmt="parquet")
+    return base
+
+
+def _early(pages: DataFrame) -> DataFrame:
+    """Without every third product page and every second listing `/b`."""
+    late = F.col("url").rlike(r"/p/\d+$") & (F.substring_index("url", "/", -1).cast("long") % 3 == 0)
+    later = F.col("url").rlike(r"[02468]/b$")
+    return pages.filter(~(late | later))
+
+
+@query
+def crawl_pending(spark, sf):
+    """Products that a run left open because their page was not there."""
+    base = _runs(spark, sf, _early(_corpus(spark, sf)))
+    return spark.read.parquet(f"{base}/campaigns-pending/products").select(
+        "campaign_url", "page_pos", "pos", "product_url", "product_name", "subcategory"
+    )
+
+
+@query
+def crawl_resume(spark, sf):
+    """S4, S6, E4s: what a first run left open, a second one appends; read back."""
+    pages = _corpus(spark, sf)
+    base = _runs(spark, sf, _early(pages), pages)
+    return spark.read.parquet(f"{base}/products").select(*PRODUCT_COLUMNS)

@@ -1,11 +1,13 @@
 """The whole job over captured pages: campaigns, listings, products.
 
-HTML is read once. ``extract`` turns each page row into small arrays without
-any shuffle; the joins and limits after it move only those.
+``extract`` turns each page row into small arrays without any shuffle; the
+joins and limits after it move only those. A run chooses first and parses then:
+each stage parses just the pages that the stage before called for.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -93,32 +95,55 @@ class Extracts:
     products: DataFrame
 
 
+PARTS = ("homes", "campaigns", "listings", "products")
+DETAIL_TYPES = {
+    "detail_name": "string", "description": "string",
+    "price": "struct<original_price:string,discount_price:string,discount_percentage:string>",
+    "color_before_name": "string", "color_after_name": "string", "image_url": "string", "sizes_status": "string",
+}
+PART_TYPES = {
+    "cards": "array<struct<pos:int,name:string,url:string,end_date:string>>",
+    "subpages": "array<struct<url:string,label:string>>",
+    "stubs": "array<struct<pos:int,product_url:string,product_name:string>>",
+}
+
+
 def extract(
     pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE,
-    products: bool = True,
+    parts: Sequence[str] = PARTS,
 ) -> DataFrame:
     """One pass over the pages: per page, only the parts its URL calls for.
-    ``home`` names the home pages, by URL or by a condition. Without
-    ``products``, product pages are neither parsed nor looked into; campaign
-    rows need none of them.
+    ``home`` names the home pages, by URL or by a condition. Pages that none of
+    ``parts`` asks for are neither parsed nor looked into; the columns are the
+    same whatever the parts.
 
     No shuffle. The result has no HTML and is what later steps join.
     """
     url = F.col("url")
-    home = url.isin(*home) if isinstance(home, list) else home
-    campaign, listing = is_campaign_url(url, profile), is_listing_url(url, profile)
-    product = is_product_url(url, profile) & F.lit(products)
+    asked = lambda part, condition: condition if part in parts else F.lit(False)
+    home = asked("homes", url.isin(*home) if isinstance(home, list) else home)
+    campaign = asked("campaigns", is_campaign_url(url, profile))
+    listing = asked("listings", is_campaign_url(url, profile) | is_listing_url(url, profile))
+    product = asked("products", is_product_url(url, profile))
     wanted = pages.select("page_id", "url", "html").filter(home | campaign | listing | product)
     tree = shred(wanted, profile=profile)
-    detail = [F.when(product, c).alias(n) for n, c in detail_columns(profile).items()]
+    # A part that is not asked for is a typed null, so nothing of it is planned.
+    found: dict[str, Column] = {}
+    if "homes" in parts:
+        found["cards"] = F.when(home, campaign_cards(profile))
+    if "campaigns" in parts:
+        found["subpages"] = F.when(campaign, subpages(url, profile))
+    if "listings" in parts:
+        found["stubs"] = F.when(listing, product_cards(profile))
+    if "products" in parts:
+        found |= {n: F.when(product, c) for n, c in detail_columns(profile).items()}
+    types = PART_TYPES | DETAIL_TYPES
+    column = {n: found.get(n, F.lit(None).cast(t)).alias(n) for n, t in types.items()}
     return tree.select(
-        "page_id", "url", "error",
-        F.when(home, campaign_cards(profile)).alias("cards"),
-        F.when(campaign, subpages(url, profile)).alias("subpages"),
-        F.when(campaign | listing, product_cards(profile)).alias("stubs"),
+        "page_id", "url", "error", *[column[n] for n in PART_TYPES],
         home.alias("is_home"), campaign.alias("is_campaign"),
-        (campaign | listing).alias("is_listing"), product.alias("is_product"),
-        *detail,
+        listing.alias("is_listing"), product.alias("is_product"),
+        *[column[n] for n in DETAIL_TYPES],
     )
 
 
@@ -127,9 +152,7 @@ def split(extracts: DataFrame) -> Extracts:
     page fall away inside each task before anything is shuffled."""
     extracts = extracts.filter("error is null")
     first = lambda df: first_per_key(df, ["url"], ["page_id"])
-    details = ["detail_name", "description", "price", "color_before_name", "color_after_name",
-               "image_url", "sizes_status"]
-    products = extracts.filter("is_product").select("page_id", "url", *details)
+    products = extracts.filter("is_product").select("page_id", "url", *DETAIL_TYPES)
     return Extracts(
         homes=extracts.filter("is_home").select("page_id", "url", "cards"),
         campaigns=first(extracts.filter("is_campaign").select("page_id", "url", "subpages")),
@@ -270,6 +293,41 @@ def crawl(
     return campaigns.select(*CAMPAIGN_COLUMNS), product_rows(chosen, pages.products, run_ts, profile), left
 
 
+def extract_chosen(
+    pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE,
+    visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
+) -> DataFrame:
+    """The extracts that a run needs, in four stages: home pages, pages of new
+    campaigns, listings in their plans, chosen products. Each stage parses only
+    pages whose URL the one before named, and is written to the shared folder.
+
+    The keys of a stage are one narrow column, written first so that its size is
+    known: few of them are broadcast to the scan; of many, Spark's own Bloom
+    filter thins the pages before the join. A stage without keys reads nothing.
+    """
+    homes = cut(extract(pages, home, profile, PARTS[:1]), "homes")
+
+    def stage(part: Sequence[str], keys: DataFrame) -> DataFrame:
+        keys = cut(keys.toDF("url").distinct(), "keys")
+        if keys.isEmpty():
+            return homes.limit(0)
+        return cut(extract(pages.join(keys, "url", "left_semi"), home, profile, part), part[0])
+
+    new = campaign_frontier(split(homes).homes, visited, profile, allow_duplicates)
+    new = cut(new, "frontier")
+    campaigns = stage(PARTS[1:3], new.select("campaign_url"))
+    _, steps = listing_steps(new, split(campaigns), profile)
+    if pending is not None:
+        steps = steps.unionByName(pending.listings)
+    listings = stage(PARTS[2:3], steps.select("url").join(campaigns.select("url"), "url", "left_anti"))
+    parsed = campaigns.unionByName(listings)
+    hits = steps.join(split(parsed).listings.select("url", "stubs"), "url")
+    wanted = chosen_stubs(product_stubs(hits), profile).select("product_url")
+    if pending is not None:
+        wanted = wanted.unionByName(pending.products.select("product_url"))
+    return homes.unionByName(parsed).unionByName(stage(PARTS[3:], wanted))
+
+
 def crawl_tables(
     extracts: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE,
     visited: DataFrame | None = None, allow_duplicates: bool = False,
@@ -285,7 +343,7 @@ def run(
 ) -> None:
     """Read pages, write both tables, the rejects and what is left open.
 
-    Extracts are written once to the shared folder, so pages are parsed once.
+    Only pages that the run needs are parsed (``extract_chosen``), and once.
     Products are written before campaigns: a campaign counts as visited only when
     its products are stored or listed as open. Listings and products without a
     readable page go to ``pending_path`` (by default beside the campaigns), and
@@ -295,14 +353,14 @@ def run(
     """
     spark = pages.sparkSession
     beside = campaigns_path.rstrip("/")
-    extracts = cut(extract(pages, home, profile), "extracts")
-    bad = extracts.filter("error is not null").select("page_id", "url", "error")
-    bad.write.mode("append").parquet(rejects_path or f"{beside}-rejects")
-    if extracts.filter("is_home and size(cards) > 0").isEmpty():
-        raise ValueError("no campaign on the home pages")
     visited = None if allow_duplicates else visited_keys(spark, campaigns_path, "campaign_url", fmt)
     open_ = Pending(*[stored_rows(spark, f"{pending_path or f'{beside}-pending'}/{n}", "parquet") for n in ("listings", "products")])
     pending = open_ if open_.listings is not None and open_.products is not None else None
+    extracts = extract_chosen(pages, home, profile, visited, allow_duplicates, pending)
+    bad = extracts.filter("error is not null").select("page_id", "url", "error").distinct()
+    bad.write.mode("append").parquet(rejects_path or f"{beside}-rejects")
+    if extracts.filter("is_home and size(cards) > 0").isEmpty():
+        raise ValueError("no campaign on the home pages")
     campaigns, products, left = crawl(extracts, run_ts, profile, visited, allow_duplicates, pending)
     # The stored tables are read above and written below: fix the rows first.
     campaigns = cut(campaigns, "campaigns")

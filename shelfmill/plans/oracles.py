@@ -139,6 +139,16 @@ _STUBS = f"""
 _RUN_TS = "2024-05-01 12:00:00"
 
 
+_PRODUCTS = f"""
+  SELECT d.p_partkey::VARCHAR AS product_id, d.product_url, s_suppkey::VARCHAR AS campaign_id,
+         '{_SHOP}/catalog/' || s_suppkey AS campaign_url, label AS subcategory, d.product_name,
+         d.original_price, d.discount_price, d.discount_percentage, d.color, d.sizes_status, d.image_url,
+         '{_RUN_TS}' AS extraction_timestamp
+  FROM (SELECT s_suppkey, part_key, arg_min(label, (page, pos)) AS label FROM ({_STUBS})
+        GROUP BY s_suppkey, part_key) s
+  JOIN ({_DETAIL}) d ON d.p_partkey = s.part_key"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "page_source": "SELECT page_id, url, length(html)::INT AS html_chars FROM pages",
@@ -206,6 +216,16 @@ def all_oracles() -> dict[str, str]:
             FROM (SELECT *, 'item-' || regexp_extract(url, '/(en|de|fr|es)/([^/?#]+)', 2) AS seg FROM pages)""",
         "url_forms": f"""
             SELECT page_id, true AS http, rtrim(url, '/') AS same_as, {_HOST} AS host FROM pages""",
+        "sql_urls": f"""
+            SELECT page_id, {_CAMPAIGN} AS campaign, {_LISTING} AS listing, {_PRODUCT} AS product,
+                   coalesce(nullif(regexp_extract(url, '/(\\d+)/?$', 1), ''),
+                       regexp_extract(regexp_extract(url, '^https?://[^/?#]*/([^?#]*)', 1), '([^/]*)$', 1)) AS id,
+                   {_HOST} AS host FROM pages""",
+        "sql_texts": """
+            SELECT p_partkey, p_name AS clean, len(string_split(p_name, ' '))::INT AS words,
+                   CASE WHEN p_partkey % 130 BETWEEN 1 AND 95 THEN '-' || (p_partkey % 130) || '%'
+                     WHEN p_partkey % 130 > 99 THEN '-15%' ELSE '' END AS label,
+                   CASE WHEN p_size BETWEEN 0 AND 9999 THEN p_size + 0.5::DOUBLE END AS price FROM part""",
         "clean_documents": f"SELECT doc_id, {_clean('text')} AS clean FROM documents",
         "word_counts": """
             SELECT p_partkey, len(string_split(p_name, ' '))::INT AS words,
@@ -325,12 +345,13 @@ def all_oracles() -> dict[str, str]:
                    'Marca ' || s_suppkey AS brand_name, 'Todo, Moda, Casa, Moda, Casa' AS subcategories,
                    'acaba en ' || (s_suppkey % 9 + 1) || ' días' AS end_date_text, '{_RUN_TS}' AS extraction_timestamp
             FROM supplier""",
-        "crawl_products": f"""
-            SELECT d.p_partkey::VARCHAR AS product_id, d.product_url, s_suppkey::VARCHAR AS campaign_id,
-                   '{_SHOP}/catalog/' || s_suppkey AS campaign_url, label AS subcategory, d.product_name,
-                   d.original_price, d.discount_price, d.discount_percentage, d.color, d.sizes_status, d.image_url,
-                   '{_RUN_TS}' AS extraction_timestamp
-            FROM (SELECT s_suppkey, part_key, arg_min(label, (page, pos)) AS label FROM ({_STUBS})
-                  GROUP BY s_suppkey, part_key) s
-            JOIN ({_DETAIL}) d ON d.p_partkey = s.part_key""",
+        "crawl_products": _PRODUCTS,
+        "crawl_resume": _PRODUCTS,
+        "crawl_pending": f"""
+            SELECT '{_SHOP}/catalog/' || s_suppkey AS campaign_url, min(page)::INT AS page_pos,
+                   arg_min(pos, page)::INT AS pos, '{_SHOP}/p/' || part_key AS product_url,
+                   'Item ' || part_key AS product_name, arg_min(label, page) AS subcategory
+            FROM ({_STUBS}) WHERE NOT (page = 2 AND s_suppkey % 2 = 0)
+              AND (part_key % 3 = 0 OR part_key NOT IN (SELECT p_partkey FROM part))
+            GROUP BY s_suppkey, part_key""",
     }
