@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAGE_SCHEMA = "page_id long, url string, html string"
 
 
-def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_pages(
+    spark: SparkSession, path: str, fmt: str = "parquet", url: Callable[[Column], Column] | None = None
+) -> DataFrame:
     """Captured pages as ``page_id, url, html``.
 
     ``parquet``, ``json`` and ``orc`` hold these columns. ``html`` reads saved
-    page files: the file name without its ending serves as URL.
+    page files, also in sub-folders. ``url`` makes a page's URL from its place
+    below ``path``, less the ending ``.html``; without it, that place is the URL.
     """
     if fmt == "html":
-        raw = spark.read.text(path, wholetext=True)
-        file = F.input_file_name()
+        raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+        file = F.col("_metadata.file_path")
+        plain = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+        folder = re.escape(path.rstrip("/").split(":", 1)[-1].lstrip("/"))
+        place = F.regexp_replace(F.regexp_replace(plain, f"^.*?{folder}/", ""), r"\.html$", "")
         return raw.select(
             F.xxhash64(file).alias("page_id"),
-            F.regexp_extract(file, r"([^/]+?)(?:\.html)?$", 1).alias("url"),
+            (url(place) if url else place).alias("url"),
             F.col("value").alias("html"),
         )
     return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)

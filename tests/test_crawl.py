@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfmill import SiteProfile
 from shelfmill.plans.crawl import (
-    crawl_tables, extract, extract_details, extract_links, run,
+    crawl_tables, extract, extract_chosen, extract_details, extract_links, run,
 )
 from shelfmill.session import cut
 from shelfmill.sources.pages import balanced, read_pages, stream_pages
@@ -125,6 +125,17 @@ def test_open_work_is_taken_up(spark, pages, tmp_path):
     assert stored_rows(spark, paths[0]).count() == 3
 
 
+def test_only_chosen_pages_are_parsed(spark, pages):
+    """Campaigns 1 and 3 are stored: only what campaign 2 calls for is read."""
+    known = spark.createDataFrame([(f"{SITE}/catalog/1",), (f"{SITE}/catalog/3",)], "campaign_url string")
+    got = extract_chosen(pages, [f"{SITE}/"], visited=known)
+    # Campaign 2 and product 1 were captured twice.
+    assert rows(got, "url") == [(f"{SITE}/",), *[(f"{SITE}/catalog/2",)] * 2, *[(f"{SITE}/p/1",)] * 2]
+    full = extract(pages, [f"{SITE}/"])
+    assert [(n, t.simpleString()) for n, t in ((f.name, f.dataType) for f in got.schema)] == [
+        (n, t.simpleString()) for n, t in ((f.name, f.dataType) for f in full.schema)]
+
+
 def test_unread_capture_hides_nothing(spark, tmp_path):
     bad = "<![foo[bar]]>"
     captures = [(f"{SITE}/", card("/catalog/1", "Uno")), (f"{SITE}/catalog/1", bad), (f"{SITE}/catalog/1", listing(1)),
@@ -180,9 +191,14 @@ def test_page_sources(spark, pages, tmp_path):
         assert rows(read_pages(spark, str(tmp_path / fmt), fmt), "url", "html") == rows(pages, "url", "html")
     folder = tmp_path / "html"
     folder.mkdir()
+    for place in ("p", "q"):
+        (folder / place).mkdir()
+        (folder / place / "1+1 é.html").write_text(place, encoding="utf-8")
     (folder / "home.html").write_text("<p>a\nb</p>", encoding="utf-8")
     saved = read_pages(spark, str(folder), "html")
-    assert rows(saved, "url", "html") == [("home", "<p>a\nb</p>")]
+    assert rows(saved, "url", "html") == [("home", "<p>a\nb</p>"), ("p/1+1 é", "p"), ("q/1+1 é", "q")]
+    named = read_pages(spark, str(folder), "html", lambda place: F.concat(F.lit(f"{SITE}/"), place))
+    assert rows(named, "url")[0] == (f"{SITE}/home",)
     assert balanced(pages.coalesce(1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert balanced(pages.repartition(20)).rdd.getNumPartitions() == 20
 
