@@ -366,7 +366,7 @@ def normalized_prices(spark, sf):
 
 @query
 def doc_prices(spark, sf):
-    """T8, T9, T10, C11 on the documents' whole texts."""
+    """T8, T9, T10 on the documents' whole texts."""
     found = balanced(_table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", price_candidates("text").alias("p"))
     pair = price_pair("p")
     return found.select(
@@ -484,7 +484,7 @@ def shortest_names(spark, sf):
 # -- JSON --------------------------------------------------------------
 @query
 def json_walk(spark, sf):
-    """Every object of the event properties, at any depth."""
+    """Every object of the event properties, at any depth."""
     wrapped = F.concat(F.lit('[{"id": '), F.col("event_id").cast("string"), F.lit(', "in": '), "props", F.lit("}]"))
     walked = balanced(_table(spark, sf, "events")).select("event_id", F.inline(walk_json(wrapped)))
     rows = walked.select("event_id", "obj", F.posexplode("members").alias("pos", "m"))
