@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-import base64
 import json
+import re
 from collections.abc import Callable, Sequence
 
+# Runs of Unicode white space from this length on are encoded apart: the
+# vocabulary's pattern looks back from the end of a run, and the regex engine's
+# stack does not hold runs of any length.
+LONG_RUN = 10_000
+_RUN = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{%d,}" % LONG_RUN)
+
 
 def _file(path: str | None, name: str) -> str:
     if path:
@@ -36,16 +42,38 @@ def _load(path: str | None):
     return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special), special
 
 
+def _ordinary(encoding) -> Callable[[str], Sequence[int]]:
+    """Encoder of text without special tokens, whatever its runs of white space:
+    all of a run but the character before the next word is one piece."""
+
+    def encode(text: str) -> Sequence[int]:
+        found, at = [], 0
+        for run in _RUN.finditer(text):
+            stop = run.end() if run.end() == len(text) else run.end() - 1
+            found += encoding.encode_ordinary(text[at : run.start()])
+            found += encoding._encode_single_piece(text[run.start() : stop])
+            at = stop
+        rest = encoding.encode_ordinary(text[at:])
+        return [*found, *rest] if found else rest
+
+    return encode
+
+
 def byte_bpe(path: str | None = None) -> Callable[[str], Sequence[int]]:
     """Encoder with the ids that ``tokenizers`` gives for the same file without
     added special tokens; a special token's string in a text is that token."""
     encoding, special = _load(path)
-    known = set(special)
+    ordinary = _ordinary(encoding)
+    marks = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
 
     def encode(text: str) -> Sequence[int]:
-        if any(s in text for s in known):
-            return encoding.encode(text, allowed_special=known)
-        return encoding.encode_ordinary(text)
+        if not marks or not marks.search(text):
+            return ordinary(text)
+        # Every second part is a special token.
+        found = []
+        for i, part in enumerate(marks.split(text)):
+            found += [special[part]] if i % 2 else ordinary(part)
+        return found
 
     return encode
 
@@ -53,4 +81,4 @@ def byte_bpe(path: str | None = None) -> Callable[[str], Sequence[int]]:
 def plain_bpe(path: str | None = None):
     """Encoder that reads special strings as ordinary text, and its decoder to bytes."""
     encoding, _ = _load(path)
-    return encoding.encode_ordinary, encoding.decode_bytes
+    return _ordinary(encoding), encoding.decode_bytes

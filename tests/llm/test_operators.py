@@ -18,7 +18,7 @@ from shelfmill.llm.packing import best_fit_packing, plan
 from shelfmill.llm.secret_scan import scan_secrets
 from shelfmill.llm.source_mix import mix_sources, targets, with_copies
 from shelfmill.llm.suffix_dedup import Splitters, multikey_order, suffix_dedup
-from shelfmill.llm.tokens import byte_bpe
+from shelfmill.llm.tokens import LONG_RUN, byte_bpe, plain_bpe
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, part int, score double, rate int"
@@ -233,15 +233,28 @@ def test_packing(documents, rows, nothing):
     assert best_fit_packing(nothing).count() == 0
 
 
+def long_runs():
+    """White space just below and beyond what is encoded apart, with what follows it."""
+    for n in (LONG_RUN - 1, LONG_RUN, LONG_RUN + 1):
+        yield from (f"{a}{s * n}{b}" for s in (" ", "\n", " \t", "\u3000") for a in ("", "x", "<|endoftext|>") for b in ("", "x", " 1", "<|endoftext|>y"))
+    yield " " * 25_000 + "\x1c" * 25_000 + " " * 25_000 + "é"
+
+
 def test_encoder_has_the_same_ids():
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer, own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), byte_bpe()
-    for text in [*[t or "" for t in texts()], "a<|endoftext|>b", "\x00\x01ÿĀ\U0001f600 I'll  \n\n x"]:
+    for text in [*[t or "" for t in texts()], "a<|endoftext|>b", "\x00\x01ÿĀ\U0001f600 I'll  \n\n x", *long_runs()]:
         assert list(own(text)) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_takes_runs_of_any_length():
+    encode, plain = byte_bpe(), plain_bpe()[0]
+    for text in (" " * 3_000_000 + "x", "x" + "\n" * 3_000_000, "a" * 3_000_000, "." * 3_000_000):
+        assert list(plain(text)) == list(encode(text)) and plain_bpe()[1](encode(text)).decode() == text
+
+
 def test_plan_is_best_fit():
     """As many sequences as best-fit over single pieces, longest first."""
     draw = random.Random(2)
