@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import let
 from .common import LOWER, SPACE_CHARS, UPPER, cut, id_or_last, id_or_null, read_documents
 
 MIN_CHARS = 10
@@ -50,17 +51,28 @@ def drop_maps(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return words.groupBy("id", "text").agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("drops"))
 
 
+def _dense(drops: Column) -> Column:
+    """The words of a bitmap as an array, those left out as zeros: a map is
+    searched from its start for each look-up, an array is not."""
+    def filled(entries: Column) -> Column:
+        before = lambda i: F.coalesce(F.get(entries, i - 1)["key"], F.lit(-1))
+        zeros = lambda n: F.array_repeat(F.lit(0).cast("long"), n)
+        return F.flatten(F.transform(entries, lambda e, i: F.concat(zeros(e["key"] - before(i) - 1), F.array(e["value"]))))
+
+    return let(F.array_sort(F.map_entries(drops)), filled)
+
+
 def apply_drops(documents: DataFrame, drops: DataFrame) -> DataFrame:
     """``documents`` with its text freed of the dropped lines, plus ``n_lines``
     and ``n_dropped``; a text that loses nothing stays as it is, null included."""
     marks = drops.select(F.col("id").alias("__id"), F.col("text").alias("__text"), F.col("drops").alias("__drops"))
     lines = _lines(F.col("text"))
-    kept = F.array_join(
+    kept = let(_dense(F.col("__drops")), lambda words: F.array_join(
         F.filter(lines, lambda _, i: F.getbit(
-            F.coalesce(F.col("__drops")[F.shiftright(i, 6)], F.lit(0).cast("long")), i.bitwiseAND(63)
+            F.coalesce(F.get(words, F.shiftright(i, 6)), F.lit(0).cast("long")), i.bitwiseAND(63)
         ) == 0),
         "\n",
-    )
+    ))
     return (
         _rows(documents)
         .join(marks, ["__id", "__text"], "left")

@@ -339,6 +339,16 @@ def test_line_dedup(documents, rows, nothing):
     assert set(documents.columns) <= set(line_dedup(documents).columns)
 
 
+def test_line_dedup_of_a_very_long_text(spark):
+    """Work grows with a text's lines, not with their square."""
+    lines = [f"line number {i}" for i in range(300_000)]
+    own = [f"own line number {i}" if i % 1000 == 7 or 100_000 < i < 120_000 else x for i, x in enumerate(lines)]
+    frame = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(own))], "doc_id long, text string")
+    got = by_id(line_dedup(frame))
+    assert got[1].n_dropped == 0 and got[1].text == "\n".join(lines)
+    assert got[2].text == "\n".join(x for x in own if x.startswith("own"))
+
+
 def test_exact_dedup(documents, rows, nothing):
     groups = defaultdict(list)
     for i, text, _ in rows:
