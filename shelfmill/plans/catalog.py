@@ -262,7 +262,7 @@ def url_ids(spark, sf):
 def url_forms(spark, sf):
     """U9, U10"""
     return read_pages(spark, f"{sf}/pages.parquet").select(
-        "page_id", is_http("url").alias("http"),
+        "page_id", is_http(F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(F.concat(F.lit("ftp:"), "url"))).alias("http"),
         same_url_key(F.concat("url", F.lit("//"))).alias("same_as"), url_host("url").alias("host"),
     )
 
@@ -617,7 +617,7 @@ def page_names(spark, sf):
 
 @query
 def shop_details(spark, sf):
-    """Whole product pages."""
+    """Whole product pages."""
     pages = _product_pages(spark, sf)
     stubs = _table(spark, sf, "part").select(
         F.concat(F.lit(f"{rendered.SITE}/p/"), F.col("p_partkey").cast("string")).alias("product_url"),
@@ -628,7 +628,7 @@ def shop_details(spark, sf):
 
 @query
 def shop_campaigns(spark, sf):
-    """Campaign cards of the home pages."""
+    """Campaign cards of the home pages, or their links where they have none."""
     pages = _shop_pages(spark, sf).filter(rendered.is_home())
     return extract_campaigns(pages).select("page_id", "pos", "name", "url", "end_date")
 

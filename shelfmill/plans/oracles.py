@@ -119,14 +119,16 @@ _DETAIL = f"""
   SELECT p_partkey,
     'https://shop.example.com/p/' || p_partkey AS product_url,
     p_name || CASE WHEN p_partkey % 6 = 2 THEN ' - gris' ELSE '' END AS product_name,
-    CASE WHEN p_partkey % 2 = 0 THEN 'About ' || p_name ELSE 'Fine ' || p_name || ' made for every day' END AS description,
+    CASE WHEN p_partkey % 2 = 0 THEN 'About ' || p_name ELSE 'Fine ' || p_name || ' made for every day'
+      || CASE WHEN p_partkey % 4 = 3 THEN ', whatever the weather may be' ELSE '' END END AS description,
     CASE WHEN p_partkey % 4 IN (0, 2) THEN {_money(_CENTS)} ELSE '' END AS original_price,
     {_money(_NOW)} AS discount_price,
     CASE WHEN p_partkey % 4 IN (0, 2) THEN '-30%' ELSE '' END AS discount_percentage,
     (['rojo | azul', 'verde', 'gris', 'negro', 'blanco', 'lila'])[p_partkey % 6 + 1] AS color,
     CASE WHEN p_partkey % 2 = 0 THEN 'https://img.example.com/' || p_partkey || '.jpg'
          ELSE '/img/' || p_partkey || '.jpg' END AS image_url,
-    CASE WHEN p_partkey % 4 < 2 THEN {_S} || ':OK, ' || ({_S} + 2) || ':OUT, ' || ({_S} + 4) || ':ALMOST'
+    CASE WHEN p_partkey % 4 = 1 THEN '38:OK, 39:OK, 40:OK, 41:OK, 42:OK, 43:OK'
+         WHEN p_partkey % 4 = 0 THEN {_S} || ':OK, ' || ({_S} + 2) || ':OUT, ' || ({_S} + 4) || ':ALMOST'
          WHEN p_partkey % 4 = 2 THEN 'M:OUT, XL:OK' ELSE '38:OK, M:OUT' END AS sizes_status
   FROM part"""
 
@@ -215,7 +217,7 @@ def all_oracles() -> dict[str, str]:
               coalesce(nullif(regexp_extract(seg, '-(\d+)$', 1), ''), seg) AS segment_id
             FROM (SELECT *, 'item-' || regexp_extract(url, '/(en|de|fr|es)/([^/?#]+)', 2) AS seg FROM pages)""",
         "url_forms": f"""
-            SELECT page_id, true AS http, rtrim(url, '/') AS same_as, {_HOST} AS host FROM pages""",
+            SELECT page_id, page_id % 2 = 0 AS http, rtrim(url, '/') AS same_as, {_HOST} AS host FROM pages""",
         "sql_urls": f"""
             SELECT page_id, {_CAMPAIGN} AS campaign, {_LISTING} AS listing, {_PRODUCT} AS product,
                    coalesce(nullif(regexp_extract(url, '/(\\d+)/?$', 1), ''),

@@ -46,7 +46,8 @@ def product_pages(parts: DataFrame) -> DataFrame:
     meta = F.concat(
         F.lit('<meta property="product:price:amount" content="'), _money(now, "."), F.lit('">')
     )
-    head_price = _choose(key, 4, linked, meta)
+    script = F.concat(F.lit('<script>var shop = {"id": 7, "price": "'), _money(now, ","), F.lit('"};</script>'))
+    head_price = _choose(key, 8, linked, meta, "", "", linked, script)
     menu = F.concat(
         F.lit('<div><label>Talla</label><ul role="listbox"><li role="option" class="hczgyp">'),
         text(size), F.lit('</li><li role="option">'), text(size + 2),
@@ -57,19 +58,25 @@ def product_pages(parts: DataFrame) -> DataFrame:
         "<div><select><option>Elige tu modelo</option><option value='XL'>XL</option>"
         "<option disabled='disabled'>M</option></select></div>"
     )
+    # A crowded block names no sizes of its own, and so does not say that all are sold out.
+    crowded = (
+        "<section><div><label>Talla</label><div>agotado "
+        + " / ".join(f"<span>{n}</span>" for n in range(38, 44)) + "</div></div></section>"
+    )
     json_sizes = (
         '<script type="application/json">{"sizes": [{"size": "38", "available": true}, '
         '{"size": "M", "available": false}]}</script>'
     )
-    sizes = _choose(key, 4, menu, menu, select, json_sizes)
+    sizes = _choose(key, 4, menu, crowded, select, json_sizes)
     price = _choose(
         key, 4, '<div class="price">1,00 €</div>', "",
         F.concat(
             F.lit('<div class="price"><span>'), _money(cents, ","), F.lit(" €</span> <span>"),
             _money(now, ","), F.lit(" €</span></div><p>Ahora -30%</p>"),
         ),
-        F.concat(F.lit("<footer>"), _money(now, ","), F.lit(" €</footer>")),
     )
+    # Outside the main part, the only one with a heading.
+    footer = _choose(key, 4, "", "", "", F.concat(F.lit("<footer>"), _money(now, ","), F.lit(" €</footer>")))
     color = _choose(
         key, 6,
         '<div data-testid="variation-item-1"><a><img alt="Camisa - lino - rojo"></a></div>'
@@ -83,10 +90,10 @@ def product_pages(parts: DataFrame) -> DataFrame:
     about = F.when(
         key % 2 == 0, F.concat(F.lit('<meta name="description" content="About  '), "p_name", F.lit('">'))
     ).otherwise("")
-    block = F.when(
-        key % 2 == 1,
-        F.concat(F.lit('<p class="description">Fine '), "p_name", F.lit(" made for every day</p>")),
-    ).otherwise("")
+    block = _choose(
+        key, 4, "", F.concat(F.lit('<p class="description">Fine '), "p_name", F.lit(" made for every day</p>")),
+        "", F.concat(F.lit("<p>Fine "), "p_name", F.lit(" made for every day, whatever the weather may be</p>")),
+    )
     image = F.when(
         key % 2 == 0,
         F.concat(F.lit('<meta property="og:image" content="https://img.example.com/'), text(key), F.lit('.jpg">')),
@@ -100,7 +107,7 @@ def product_pages(parts: DataFrame) -> DataFrame:
     ).otherwise(F.concat(F.lit("<h1>"), name, F.lit("</h1>")))
     html = F.concat(
         F.lit("<!DOCTYPE html><html><head>"), image, about, head_price, F.lit("</head><body><main>"),
-        title, price, block, photo, color, sizes, F.lit("</main></body></html>"),
+        title, price, block, photo, color, sizes, F.lit("</main>"), footer, F.lit("</body></html>"),
     )
     url = F.concat(F.lit(f"{SITE}/p/"), text(key))
     return parts.select(key.alias("page_id"), url.alias("url"), html.alias("html"))
@@ -120,7 +127,7 @@ def shop_pages(suppliers: DataFrame) -> DataFrame:
     k = key.cast("string")
     first = key * 20
     days = (key % 9 + 1).cast("string")
-    home = F.concat(
+    cards = F.concat(
         F.lit('<div><section><article title="Banner #1"><a href="/catalog/'), k,
         F.lit('"><img alt="Marca '), k, F.lit('"></a><span class="deadline">Acaba en '), days,
         F.lit(' días | outlet</span></article><article><h3>Copia</h3><a href="/catalog/'), k,
@@ -128,6 +135,14 @@ def shop_pages(suppliers: DataFrame) -> DataFrame:
         F.lit('"></a></article><article><a href="/catalog/'), k,
         F.lit('/solo"></a></article></section></div>'),
     )
+    # Every third home page has links alone.
+    links = F.concat(
+        F.lit('<main><p><a href="/catalog/'), k, F.lit('"><img alt="Marca '), k,
+        F.lit('"><span class="deadline">Acaba en '), days, F.lit(' días | outlet</span></a> <a href="/catalog/'), k,
+        F.lit('">x</a> <a href="/campaign/outlet-'), k, F.lit('"></a> <a href="/catalog/'), k,
+        F.lit('/solo"></a></p></main>'),
+    )
+    home = F.when(key % 3 == 0, links).otherwise(cards)
     campaign = F.concat(
         F.lit('<ul data-testid="CatalogTree"><li>Todo</li><li><a href="/catalog/'), k,
         F.lit('/a">Moda</a></li><li><a href="/catalog/'), k,
