@@ -304,12 +304,12 @@ def attribute_color(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     def of(n: Column) -> Column:
         phrase = lambda text: let(color_from_phrase(text, profile), good)
         short = n["chars"].between(1, 30)
-        return F.coalesce(
-            *[let(page.attr(n, a), good) for a in profile.color_attrs],
-            phrase(page.attr(n, "aria-label")),
-            phrase(page.attr(n, "title")),
-            F.when(short, phrase(page.text(n))),
+        given = lambda name, then: F.when(n["attrs"][name].isNotNull(), then(page.attr(n, name)))
+        of_attributes = F.coalesce(
+            *[given(a, lambda v: let(v, good)) for a in profile.color_attrs],
+            given("aria-label", phrase), given("title", phrase),
         )
+        return F.coalesce(F.when(F.size(n["attrs"]) > 0, of_attributes), F.when(short, phrase(page.text(n))))
 
     elements = F.filter(
         page.nodes,

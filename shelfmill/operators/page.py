@@ -146,6 +146,10 @@ class Page:
         """First match in an array of nodes."""
         return first(self.select(scope, sel, spans))
 
+    def passing(self, scope: Column, sels: Sequence[Sel], spans: Spans | None = None) -> Column:
+        """The few nodes that pass some selector, in one look at all of them."""
+        return F.filter(scope, lambda n: rank(n, sels, spans).isNotNull())
+
     def find_any(self, scope: Column, sels: Sequence[Sel]) -> Column:
         """First node that passes any of the selectors."""
         return first(F.filter(scope, lambda n: matches_any(n, sels)))
@@ -154,15 +158,12 @@ class Page:
         """Union of matches, each node once, by (selector, document) order
         (D7): ``rank, pre, last, tag, links`` structs."""
         ranked = lambda spans: F.array_sort(
-            F.filter(
-                F.transform(
-                    self.nodes,
-                    lambda n: F.struct(
-                        rank(n, sels, spans).alias("rank"), n["pre"].alias("pre"),
-                        n["last"].alias("last"), n["tag"].alias("tag"), n["links"].alias("links"),
-                    ),
+            F.transform(
+                self.passing(self.nodes, sels, spans),
+                lambda n: F.struct(
+                    rank(n, sels, spans).alias("rank"), n["pre"].alias("pre"),
+                    n["last"].alias("last"), n["tag"].alias("tag"), n["links"].alias("links"),
                 ),
-                lambda r: r["rank"].isNotNull(),
             )
         )
         return self.with_spans(sels, ranked)
@@ -175,9 +176,14 @@ class Page:
         self, scope: Column, sels: Sequence[Sel], pick: Callable[[Column], Column],
         spans: Spans | None = None,
     ) -> list[Column]:
-        """Per selector, ``pick`` of its first node (D6, loop form). To be put
-        in ``coalesce``, which stops at the first non-null."""
-        return [let(self.find(scope, sel, spans), pick) for sel in sels]
+        """``pick`` of each selector's first node, in turn until one is not null
+        (D6, loop form). To be put in ``coalesce``."""
+        if len(sels) == 1:
+            return [let(self.find(scope, sels[0], spans), pick)]
+        return [let(
+            self.passing(scope, sels, spans),
+            lambda few: F.coalesce(*[let(self.find(few, sel, spans), pick) for sel in sels]),
+        )]
 
     def links(self) -> Column:
         """All ``a[href]`` nodes."""
