@@ -47,6 +47,8 @@ def _ordinary(encoding) -> Callable[[str], Sequence[int]]:
     all of a run but the character before the next word is one piece."""
 
     def encode(text: str) -> Sequence[int]:
+        if len(text) < LONG_RUN:
+            return encoding.encode_ordinary(text)
         found, at = [], 0
         for run in _RUN.finditer(text):
             stop = run.end() if run.end() == len(text) else run.end() - 1
