@@ -24,11 +24,10 @@ LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW, re.ASCII)
 LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % LEAST_HEX, re.ASCII)
-CLASSES = (  # name, characters, least entropy of a window in bits
-    ("hex", re.compile(r"[0-9a-f]+|[0-9A-F]+"), 3.0),
-    ("alnum", re.compile(r"[A-Za-z0-9]+"), 3.7),
-    ("base64", re.compile(r"[A-Za-z0-9+/_=-]+"), 3.8),
-)
+# Runs of a class that hold a window, narrowest first, and a window's least entropy in bits.
+CLASSES = tuple((re.compile(r"[%s]{%d,}" % (chars, WINDOW), re.ASCII), bits) for chars, bits in (
+    ("0-9a-f", 3.0), ("0-9A-F", 3.0), ("A-Za-z0-9", 3.7), ("A-Za-z0-9+/_=-", 3.8),
+))
 ALLOWED = tuple(re.compile(p) for p in (
     r"\d+",  # numbers
     r"[A-Za-z]+",  # words
@@ -82,11 +81,33 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
-        word = m.group()
-        if any(a.fullmatch(word) for a in ALLOWED):
-            continue
-        least = next(bits for _, chars, bits in CLASSES if chars.fullmatch(word))
-        out += [(m.start() + a, 3, m.start() + b) for a, b in dense(word, WINDOW, least)]
+        if not allowed(m.group()):
+            out += [(m.start() + a, 3, m.start() + b) for a, b in dense_runs(m.group())]
+    return out
+
+
+def allowed(word: str) -> bool:
+    return any(a.fullmatch(word) for a in ALLOWED)
+
+
+def dense_runs(word: str) -> list[tuple[int, int]]:
+    """Dense stretches of a candidate: each run of one class inside it is judged
+    by that class's limit, so what is glued to a key does not raise the key's. A
+    run that is itself a word or a number is judged with what surrounds it only."""
+    seen: set[tuple[int, int]] = set()
+    found: list[tuple[int, int]] = []
+    for chars, least in CLASSES:
+        for run in chars.finditer(word):
+            # The same run in a narrower class has the lower limit; the whole word is not allowed.
+            if run.span() not in seen and not allowed(run.group()):
+                seen.add(run.span())
+                found += [(run.start() + a, run.start() + b) for a, b in dense(run.group(), WINDOW, least)]
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
     return out
 
 
@@ -102,9 +123,9 @@ def scan_secrets(documents: DataFrame) -> DataFrame:
     Whole texts are read where they lie; nothing is shuffled. Null and empty
     texts have no spans. Repeated rows each get theirs, null ids stay null, other
     columns are ignored, an empty table gives an empty result. The entropy scan
-    takes strings of base64 characters, picks the limit by the narrowest
-    character class that holds all of them, and leaves out what the allow list
-    names: plain words, numbers, dates, slugs, UUIDs, placeholders.
+    takes strings of base64 characters, judges each run of a character class in
+    them by that class's limit, and leaves out what the allow list names: plain
+    words, numbers, dates, slugs, UUIDs, placeholders.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

@@ -399,6 +399,22 @@ def test_secret_scan(spark, documents, nothing):
     assert scan_secrets(documents).count() == documents.count() and scan_secrets(nothing).count() == 0
 
 
+def test_glued_keys_are_judged_by_their_own_class():
+    draw = random.Random(11)
+    for digits in ("0123456789ABCDEF", "0123456789abcdef"):
+        for n in (20, 32, 64):
+            for _ in range(40):
+                key = "".join(draw.choices(digits, k=n))
+                alone = secret_scan.entropy_spans(key)
+                for prefix in ("0x", "SIG=", "key_", "v1/", "export/KEY="):
+                    got = secret_scan.entropy_spans(f"{prefix}{key} {prefix}{key}/x")
+                    for at in (len(prefix), 2 * len(prefix) + n + 1):
+                        for a, _, b in alone:
+                            assert any(x <= a + at and b + at <= y for x, _, y in got)
+    for quiet in ("v2/1234567890123456789012345", "aa1/12345678901234567890", "x12345678901234567890"):
+        assert secret_scan.entropy_spans(quiet) == []
+
+
 def test_language_filters_answer_for_all_languages():
     features = {f"l{i:03}": language_id.ngrams(f"only{'abcdefgh'[i % 8]}words{i} " * 3 + "shared part") for i in range(70)}
     features = {k: np.unique(language_id.ngrams("".join(chr(97 + (i * 7 + j * j) % 26) for j in range(90)) + " shared part"))
