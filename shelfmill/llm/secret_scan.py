@@ -33,9 +33,11 @@ ALLOWED = tuple(re.compile(p) for p in (
     r"[A-Za-z]+",  # words
     r"[A-Za-z]+(?:[-_/][A-Za-z]+)*",  # names and paths of words
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",  # UUIDs
-    r".*(?:EXAMPLE|example|XXXX|xxxx).*",  # placeholders
     r"(?:[0-9]+|[A-Za-z]+)(?:[-/_=](?:[0-9]+|[A-Za-z]+))*",  # dates, slugs, paths with numbers
 ))
+# Placeholders, allowed as far as the separators round them; and one known key that separators part.
+PLACEHOLDER, SEGMENT = re.compile(r"EXAMPLE|example|XXXX|xxxx"), re.compile(r"[^-/_=]+")
+SAMPLE_KEY = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
 
 
 def dense(text: str, window: int = WINDOW, least: float = 3.7) -> list[tuple[int, int]]:
@@ -81,8 +83,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     out = []
     for m in CANDIDATE.finditer(text):
-        if not allowed(m.group()):
-            out += [(m.start() + a, 3, m.start() + b) for a, b in dense_runs(m.group())]
+        if allowed(m.group()):
+            continue
+        for at, word in real_parts(m.group()):
+            if not allowed(word):
+                out += [(m.start() + at + a, 3, m.start() + at + b) for a, b in dense_runs(word)]
+    return out
+
+
+def real_parts(word: str) -> list[tuple[int, str]]:
+    """Parts of a candidate, with their places, between segments that hold a
+    placeholder; separators beside such a segment go with it."""
+    if not PLACEHOLDER.search(word):
+        return [(0, word)]
+    gaps = [m.span() for m in re.finditer(re.escape(SAMPLE_KEY), word)]
+    gaps += [m.span() for m in SEGMENT.finditer(word) if PLACEHOLDER.search(m.group())]
+    out, at = [], 0
+    for a, b in [*sorted(gaps), (len(word), len(word))]:
+        part = word[at:a]
+        own = part.lstrip("-/_=") if at else part
+        start = at + len(part) - len(own)
+        if a < len(word):
+            own = own.rstrip("-/_=")
+        if len(own) >= WINDOW:
+            out.append((start, own))
+        at = max(at, b)
     return out
 
 
@@ -125,7 +150,7 @@ def scan_secrets(documents: DataFrame) -> DataFrame:
     columns are ignored, an empty table gives an empty result. The entropy scan
     takes strings of base64 characters, judges each run of a character class in
     them by that class's limit, and leaves out what the allow list names: plain
-    words, numbers, dates, slugs, UUIDs, placeholders.
+    words, numbers, dates, slugs, UUIDs, and segments that hold a placeholder.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

@@ -415,6 +415,19 @@ def test_glued_keys_are_judged_by_their_own_class():
         assert secret_scan.entropy_spans(quiet) == []
 
 
+def test_placeholders_hide_only_their_segment():
+    key = "q7Zp0LmX2vR9tK4wB8nC1yH5"
+    for before, after in (("docs/example/", ""), ("example_key=", ""), ("", "/example"), ("a/xxxx/", "/EXAMPLE-b/c")):
+        at = len(f"é {before}")
+        (a, _, b), = secret_scan.entropy_spans(f"é {before}{key}{after} y")
+        assert at - 4 <= a <= at and b == at + len(key)
+    for quiet in ("docs/example1/some-long-words-with-many-letters", key[:9] + "example" + key, "api=" + "x" * 30,
+                  "aws_secret_access_key=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"):
+        assert secret_scan.entropy_spans(quiet) == []
+    parts = secret_scan.real_parts("a-b=" + key + "-myEXAMPLE_/" + key + "==")
+    assert parts == [(0, "a-b=" + key), (4 + len(key) + 12, key + "==")]
+
+
 def test_language_filters_answer_for_all_languages():
     features = {f"l{i:03}": language_id.ngrams(f"only{'abcdefgh'[i % 8]}words{i} " * 3 + "shared part") for i in range(70)}
     features = {k: np.unique(language_id.ngrams("".join(chr(97 + (i * 7 + j * j) % 26) for j in range(90)) + " shared part"))
