@@ -20,8 +20,8 @@ SHINGLE, PERCENT = 5, 75
 # cases; with this base unrelated sets of a size share a register in 1 of 4000.
 REGISTERS, BANDS, BAND, BASE, OFFSET = 512, 32, 4, 1.001, 4.0
 # A pair stays a candidate unless the best similarity of 0.75 or more is less
-# likely than the likeliest by so many nats (4 standard deviations).
-NATS = 8.0
+# likely than the likeliest by so many nats (5.5 standard deviations).
+NATS = 15.0
 BLOCK, FAN, FILTER_BITS = 1024, 256, 1 << 26
 
 

@@ -117,6 +117,15 @@ def test_sketches_estimate_and_merge():
     assert pair(x, sketch(np.r_[a[:1800], b[1800:]], factors), 2000, 2000)
 
 
+def test_likelihood_spares_pairs_five_deviations_low():
+    """At similarity 0.75, 512 registers are equal 384 times with a deviation of 9.8."""
+    for equal in (384, 340, 335):
+        a, b = np.zeros((2, 1, 512), int)
+        a[0, equal : equal + (512 - equal) // 2] = 1
+        b[0, equal + (512 - equal) // 2 :] = 1
+        assert plausible(np.array([1000]), np.array([1000]), a, b)[0]
+
+
 def test_suffix_dedup(documents, rows):
     seen, expected = set(), {}
     for i, text, _ in rows:
