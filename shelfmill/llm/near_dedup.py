@@ -48,10 +48,19 @@ def multipliers(registers: int = REGISTERS) -> np.ndarray:
     return mix(np.arange(1, registers + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
+def _key():
+    """Tells rows apart by id and text, as rows may share an id."""
+    return F.xxhash64(id_or_last("doc_id"), F.col("text").cast("string"))
+
+
+def _keyed(documents: DataFrame) -> DataFrame:
+    return documents.select(id_or_last("doc_id").alias("id"), _key().alias("key"), F.col("text").cast("string").alias("text"))
+
+
 def sketches(documents: DataFrame) -> DataFrame:
-    """``id, digest, n, registers`` per row: digest of the word sequence, number
-    of distinct shingles, sketch (empty without words). Whole texts are read
-    where they lie."""
+    """``id, key, digest, n, registers`` per row: key of id and text, digest of
+    the word sequence, number of distinct shingles, sketch (empty without words).
+    Whole texts are read where they lie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, factors = PrefixHash(), multipliers()
@@ -64,13 +73,11 @@ def sketches(documents: DataFrame) -> DataFrame:
                 n.append(len(values))
                 registers.append(sketch(values, factors).tobytes() if len(values) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(registers, pa.binary())],
-                ["id", "digest", "n", "registers"],
+                [batch.column("id"), batch.column("key"), pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(registers, pa.binary())],
+                ["id", "key", "digest", "n", "registers"],
             )
 
-    return documents.select(id_or_last("doc_id").alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "id long, digest binary, n long, registers binary"
-    )
+    return _keyed(documents).mapInArrow(run, "id long, key long, digest binary, n long, registers binary")
 
 
 def plausible(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -256,11 +263,15 @@ def near_dedup(documents: DataFrame) -> DataFrame:
 
 
 def near_classes(documents: DataFrame) -> DataFrame:
-    """``id, n, component`` per row, ids as :func:`id_or_last` numbers them."""
+    """``id, key, n, component, head`` per row, ids as :func:`id_or_last` numbers
+    them: the component's smallest id, and the key of one row that has it. Classes
+    are known by the key of their first row, so texts that share an id stay apart."""
     rows = cut(sketches(documents), "sketches")
+    grouped = rows.where("n > 0").groupBy("digest").agg(
+        F.min(F.struct("id", "key")).alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers")
+    )
     classes = cut(
-        rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers")),
-        "classes",
+        grouped.select("digest", F.col("first.key").alias("id"), F.col("first.id").alias("doc"), "n", "registers"), "classes"
     )
     every = cut(bands(classes), "bands")
     many = every.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1").drop("size")
@@ -269,7 +280,7 @@ def near_classes(documents: DataFrame) -> DataFrame:
     def text_of(pairs: DataFrame) -> DataFrame:
         """Texts of the ends of the pairs; others are left out before they move."""
         ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        source = documents.select(id_or_last("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+        source = _keyed(documents).select(F.col("key").alias("id"), "text")
         looked = in_filter(source, "id", filter_of(ends, "id", FILTER_BITS), FILTER_BITS, "maybe")
         return looked.where("maybe").drop("maybe").join(ends, "id").groupBy("id").agg(F.min("text").alias("text"))
 
@@ -280,16 +291,22 @@ def near_classes(documents: DataFrame) -> DataFrame:
     if not more.isEmpty():
         links = cut(links.unionByName(_verify(more, text_of(more))), "links")
         labels = components(links)
-    named = classes.join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    out = rows.drop("registers").join(named, "digest", "left").withColumn("component", F.coalesce("component", "id"))
-    return out.select("id", "n", "component")
+    marked = labels.join(classes.select("id", "doc"), "id")
+    heads = marked.groupBy("component").agg(F.min(F.struct(F.col("doc").alias("id"), F.col("id").alias("key"))).alias("least"))
+    linked = labels.join(heads, "component").select("id", "least")
+    named = classes.join(linked, "id", "left").select(
+        "digest", F.coalesce("least", F.struct(F.col("doc").alias("id"), F.col("id").alias("key"))).alias("least")
+    )
+    out = rows.drop("registers").join(named, "digest", "left").withColumn("least", F.coalesce("least", F.struct("id", "key")))
+    return out.select("id", "key", "n", F.col("least.id").alias("component"), F.col("least.key").alias("head"))
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` whose id is the smallest of their component, one
-    row per id, all columns kept."""
-    first = near_classes(documents).where("id = component").select(F.col("id").alias("__id")).distinct()
-    return documents.withColumn("__id", id_or_last()).join(first, "__id", "left_semi").dropDuplicates(["__id"]).drop("__id")
+    """One row of each component of ``documents``, of the smallest id, all columns
+    kept. Unrelated texts that share an id are all kept; only rows equal in id and
+    text are collapsed."""
+    first = near_classes(documents).where("key = head").select(F.col("key").alias("__key")).distinct()
+    return documents.withColumn("__key", _key()).join(first, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:

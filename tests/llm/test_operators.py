@@ -95,6 +95,16 @@ def test_near_dedup(documents, rows):
     assert Counter(2**62 if r.doc_id is None else r.doc_id for r in kept.collect()) == Counter(i for i in ids if root(i) == i)
 
 
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    draw = random.Random(4)
+    one, two, three = (" ".join(str(draw.random()) for _ in range(60)) for _ in range(3))
+    rows = [(5, one), (5, two), (5, two), (3, three), (7, two + " end"), (8, one + " end"), (5, three + " end"), (9, one.upper())]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup(frame).collect())
+    assert got == Counter([(5, 56, 5, True)] * 3 + [(3, 56, 3, True), (7, 57, 5, False), (8, 57, 5, False), (5, 57, 3, False), (9, 56, 5, False)])
+    assert sorted(map(tuple, keep_first(frame).collect())) == sorted([(5, one), (5, two), (3, three)])
+
+
 def test_near_dedup_links_across_components(spark):
     """A chain in which no bucket's smallest member links to all others."""
     draw = random.Random(1)
