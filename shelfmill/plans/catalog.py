@@ -216,10 +216,10 @@ def resolved_urls(spark, sf):
     """U1 on each form of link."""
     path = F.regexp_extract("url", r"^https?://[^/]+(/[^#]*)", 1)
     forms = F.array(
-        F.col("url"), path, F.concat(F.lit("//cdn.example.com"), path), F.substring(path, 2, 100),
+        F.col("url"), path, F.concat(F.lit("//cdn.example.com"), path), F.regexp_replace(path, "^/", ""),
         F.concat(F.lit("?id="), F.col("page_id").cast("string")), F.lit("#top"), F.lit(""),
-        F.concat(F.lit("/a/b/../"), F.substring(path, 2, 100)), F.lit("mailto:x@example.com"),
-        F.concat(F.lit("./x/./"), F.substring(path, 2, 100)),
+        F.concat(F.lit("/a/b/../"), F.regexp_replace(path, "^/", "")), F.lit("mailto:x@example.com"),
+        F.concat(F.lit("./x/./"), F.regexp_replace(path, "^/", "")),
     )
     rows = read_pages(spark, f"{sf}/pages.parquet").select(
         "page_id", F.posexplode(forms).alias("form", "href")

@@ -265,3 +265,12 @@ def test_a_cluster_needs_a_shared_folder():
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_folder(session(master))
     assert shared_folder(session("local[2]")) == made[0]
+
+
+def test_resolved_urls_keep_long_paths(spark, tmp_path):
+    from shelfmill.plans.catalog import resolved_urls
+
+    path = "/" + "long/" * 40 + "end"
+    spark.createDataFrame([(1, f"https://site.example.com{path}", "")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.form: r.url for r in resolved_urls(spark, str(tmp_path)).collect()}
+    assert all(got[form].endswith(path) for form in (0, 1, 2, 3, 7, 9))
