@@ -95,7 +95,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, s
     """Model from ``(doc_id, text, lang)``; rows without lang or letter teach
     nothing. Whole texts of at most ``sample`` documents per language, the
     smallest by hash of their id, are read. An n-gram belongs to a language if it
-    stands in two of its documents and is at least half as frequent there as in
+    stands in two of its documents, or its only one, and is at least half as frequent there as in
     any other language; of those, the ``features`` most frequent. Only these, a
     bounded number, reach the driver."""
     rows = (
@@ -120,13 +120,16 @@ def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, s
                     [pa.array([lang] * len(gram)), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"]
                 )
 
-    taught = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"])
+    picked = F.broadcast(chosen.withColumnsRenamed({c: f"__{c}" for c in ("doc_id", "lang", "h")}))
+    taught = rows.withColumn("h", F.xxhash64("text")).join(
+        picked, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h"))
+    )
     seen = taught.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     sizes = chosen.groupBy("lang").agg(F.count("*").alias("docs"))
     share = seen.groupBy("gram", "lang").agg(F.sum("n").alias("n")).join(F.broadcast(sizes), "lang")
     share = share.withColumn("share", F.col("n") / F.col("docs"))
     share = share.withColumn("most", F.max("share").over(Window.partitionBy("gram")))
-    kept = share.where("n >= 2 and share * 2 >= most").withColumn(
+    kept = share.where("n >= least(2, docs) and share * 2 >= most").withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "gram"))
     ).where(F.col("rank") <= features)
     found: dict[str, np.ndarray] = {}

@@ -459,6 +459,16 @@ def test_language_filters_answer_for_all_languages():
         assert (hits >= exact).all() and (hits <= np.array(exact) + 3).all()
 
 
+def test_one_document_and_null_ids_teach(spark):
+    greek = "η γλώσσα είναι ένα μέσο επικοινωνίας μεταξύ των ανθρώπων"
+    rows = [(1, "the words of this text are english words", "en"), (2, "english words of the text", "en"), (3, greek, "el"),
+            (None, "das sind deutsche wörter ohne nummer", "de"), (None, "noch ein paar deutsche wörter", "de")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(frame)
+    assert model.languages == ["de", "el", "en"]
+    assert model.predict(greek)[0] == "el" and model.predict(greek)[1] > 0.9 and model.predict("deutsche wörter")[0] == "de"
+
+
 def test_language_id(spark, documents, nothing):
     rows = [(i, "the cat and the house of that man " * 3, "en", 0.0) for i in range(6)] + [
         (10 + i, "der hund und die katze sind nicht im haus " * 3, "de", 0.0) for i in range(6)]
