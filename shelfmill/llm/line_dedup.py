@@ -27,10 +27,10 @@ def drop_maps(documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     without one are left out, and a row without any is not there at all.
 
     128-bit hashes of all keys, with document and position, are dealt out by
-    range and sorted, so a key of any frequency may span many tasks; each task
-    then streams its keys in order and sends one row per key: the first and the
-    last document. Keys of one document end there. The rest meet the sorted
-    lines again; skewed partitions of that join are split.
+    range and sorted before they are written; the order decides nothing after.
+    Grouping by key, partial in each task, finds the first and the last document.
+    Keys of one document end there. The rest meet the lines again; skewed
+    partitions of that join are split.
     """
     key = F.translate(F.btrim(F.col("line"), F.lit(SPACE_CHARS)), UPPER, LOWER)
     order = ["h1", "h2", "id", "pos"]
