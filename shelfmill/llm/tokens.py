@@ -84,3 +84,30 @@ def plain_bpe(path: str | None = None):
     """Encoder that reads special strings as ordinary text, and its decoder to bytes."""
     encoding, _ = _load(path)
     return _ordinary(encoding), encoding.decode_bytes
+
+
+def plain_bpe_arrays(path: str | None = None):
+    """Like ``plain_bpe``, into numpy arrays, with the byte string of each id in place of the decoder."""
+    import numpy as np
+
+    encoding, special = _load(path)
+    ordinary = _ordinary(encoding)
+
+    def encode(text: str):
+        if len(text) < LONG_RUN:
+            return encoding.encode_to_numpy(text, disallowed_special=())
+        return np.array(ordinary(text), dtype=np.uint32)
+
+    return encode, [b"" if i in special.values() else encoding.decode_single_token_bytes(i) for i in range(encoding.n_vocab)]
+
+
+def pieces_bpe(path: str | None = None):
+    """Encoder of a sentence-piece file, which puts a space before the text, and the byte string of each id."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=str(_file(path, "piece_bpe_32k.model")))
+    found = []
+    for i in range(model.vocab_size()):
+        piece = model.id_to_piece(i)
+        found.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode())
+    return model.encode, found
