@@ -31,7 +31,7 @@ END_ID, BLOCK = 2, 256
 SHARES = (0.5, 0.75, 0.9, 0.95, 0.98, 1.0)
 # Ids after which a file ends, at the end of a document; ids that a part is planned for;
 # parts at most (larger ones hold more files), so that what is broadcast of them is bounded.
-FILE_IDS, PART_IDS, MOST_PARTS = 1 << 23, 1 << 23, 50_000
+FILE_IDS, PART_IDS, MOST_PARTS = 1 << 22, 1 << 22, 50_000
 CHUNK = 4096
 MAGIC = b"PFORids1"
 _HEADER = "<8sIqqqqI"  # magic, part, first, ids, documents, blocks, crc32 of what follows
@@ -145,7 +145,7 @@ class TokenFile:
 
 
 def file_bytes(part: int, first: int, documents: list[tuple[int | None, np.ndarray]]) -> bytes:
-    ids = np.concatenate([x for _, x in documents]) if documents else np.zeros(0, np.uint32)
+    ids = np.concatenate([x for _, x in documents]).astype(np.uint32) if documents else np.zeros(0, np.uint32)
     table, data = pack(ids)
     rows = np.array([(doc or 0, len(x), doc is not None) for doc, x in documents], dtype=_DOCUMENT)
     rest = table.tobytes() + rows.tobytes() + data
@@ -154,15 +154,17 @@ def file_bytes(part: int, first: int, documents: list[tuple[int | None, np.ndarr
 
 def encode_documents(documents: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Ids of each text, ``end_id`` last: ``doc_id, place, n, ids``, ids as
-    unsigned little-endian numbers of 32 bits. ``place`` tells rows of an id apart."""
+    unsigned little-endian numbers of 16 bits where all of a text's fit, else
+    32. ``place`` tells rows of an id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, place = byte_bpe(tokenizer), TaskContext.get().partitionId() << 33
         for batch in batches:
             docs = batch.column(0)
             ids = [np.array([*encode(text.as_py() or ""), end_id], dtype="<u4") for text in batch.column(1)]
+            small = [x.astype("<u2") if x.max() < 65536 else x for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [docs, pa.array(np.arange(place, place + len(ids))), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())],
+                [docs, pa.array(np.arange(place, place + len(ids))), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in small], pa.binary())],
                 ["doc_id", "place", "n", "ids"],
             )
             place += len(ids)
@@ -188,8 +190,8 @@ def write_files(table: DataFrame, path: str, file_ids: int = FILE_IDS, part_ids:
             return pa.RecordBatch.from_arrays(arrays, ["part", "first", "ids", "file"])
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.frombuffer(ids.as_buffer(), dtype="<u4")
+            for doc, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                ids = np.frombuffer(ids.as_buffer(), dtype="<u2" if len(ids.as_buffer()) == 2 * n else "<u4")
                 held.append((doc, ids))
                 size += len(ids)
                 if size >= file_ids:
@@ -198,7 +200,7 @@ def write_files(table: DataFrame, path: str, file_ids: int = FILE_IDS, part_ids:
         if held:
             yield out()
 
-    ranged = table.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+    ranged = table.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
     files = ranged.mapInArrow(run, "part int, first long, ids long, file binary")
     (
         files.select("part", "first", "ids", F.col("file").cast("string").alias("value"))
