@@ -23,15 +23,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import shared_folder
-from .common import cut, read_documents
+from .common import read_documents
 from .tokens import byte_bpe
 
 END_ID, BLOCK = 2, 256
 # Shares of a block's ids that may set its width; the one that takes the fewest bytes does.
 SHARES = (0.5, 0.75, 0.9, 0.95, 0.98, 1.0)
-# Ids after which a file ends, at the end of a document; ids that a part is planned for;
-# parts at most (larger ones hold more files), so that what is broadcast of them is bounded.
-FILE_IDS, PART_IDS, MOST_PARTS = 1 << 22, 1 << 22, 50_000
+# Ids after which a file ends, at the end of a document; bytes of text that a part is planned
+# for; parts at most (larger ones hold more files), so that what is broadcast of them is bounded.
+FILE_IDS, PART_BYTES, MOST_PARTS = 1 << 22, 1 << 24, 50_000
 CHUNK = 4096
 MAGIC = b"PFORids1"
 _HEADER = "<8sIqqqqI"  # magic, part, first, ids, documents, blocks, crc32 of what follows
@@ -145,62 +145,54 @@ class TokenFile:
 
 
 def file_bytes(part: int, first: int, documents: list[tuple[int | None, np.ndarray]]) -> bytes:
-    ids = np.concatenate([x for _, x in documents]).astype(np.uint32) if documents else np.zeros(0, np.uint32)
+    ids = np.concatenate([x for _, x in documents]) if documents else np.zeros(0, np.uint32)
     table, data = pack(ids)
     rows = np.array([(doc or 0, len(x), doc is not None) for doc, x in documents], dtype=_DOCUMENT)
     rest = table.tobytes() + rows.tobytes() + data
     return struct.pack(_HEADER, MAGIC, part, first, len(ids), len(rows), len(table), zlib.crc32(rest)) + rest
 
 
-def encode_documents(documents: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """Ids of each text, ``end_id`` last: ``doc_id, place, n, ids``, ids as
-    unsigned little-endian numbers of 16 bits where all of a text's fit, else
-    32. ``place`` tells rows of an id apart."""
+def write_token_files(
+    documents: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, file_ids: int = FILE_IDS, part_bytes: int = PART_BYTES,
+) -> None:
+    """Encode ``documents(doc_id, text)`` and write their ids to files below
+    ``path``, in ascending order of ``doc_id``, each text closed by ``end_id``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, place = byte_bpe(tokenizer), TaskContext.get().partitionId() << 33
-        for batch in batches:
-            docs = batch.column(0)
-            ids = [np.array([*encode(text.as_py() or ""), end_id], dtype="<u4") for text in batch.column(1)]
-            small = [x.astype("<u2") if x.max() < 65536 else x for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [docs, pa.array(np.arange(place, place + len(ids))), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in small], pa.binary())],
-                ["doc_id", "place", "n", "ids"],
-            )
-            place += len(ids)
-
-    read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return read.mapInArrow(run, "doc_id long, place long, n long, ids binary")
-
-
-def write_files(table: DataFrame, path: str, file_ids: int = FILE_IDS, part_ids: int = PART_IDS) -> None:
-    """Write the rows of ``encode_documents`` in ascending order of ids, null
-    ids last. Parts are ranges of (id, place), so neither rows without id nor
-    repeats of one gather in a task. Spark's writer commits the files: a task
-    that runs twice leaves one result."""
-    total = table.agg(F.sum("n")).first()[0] or 0
-    parts = int(min(MOST_PARTS, max(1, -(-total // part_ids))))
+    Null and empty texts are ``end_id`` alone; texts of any length are whole
+    and never cut by a file's end; rows without id come last, repeated rows as
+    often as they stand; other columns are ignored; an empty table leaves an
+    empty folder, which reads as no documents.
+
+    Parts are ranges of (id, place in the input), so neither rows without id nor
+    repeats of one gather in a task. Texts move once and are encoded where they
+    are written. Spark's writer commits the files: a task that runs twice leaves
+    one result.
+    """
+    read = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("place")
+    )
+    total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = int(min(MOST_PARTS, max(1, -(-total // part_bytes))))
     order = [F.col("doc_id").asc_nulls_last(), F.col("place")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, first, held, size = TaskContext.get().partitionId(), 0, [], 0
+        encode, part, first, held, size = byte_bpe(tokenizer), TaskContext.get().partitionId(), 0, [], 0
 
         def out() -> pa.RecordBatch:
             arrays = [pa.array([x], t) for x, t in ((part, pa.int32()), (first, pa.int64()), (size, pa.int64()), (file_bytes(part, first, held), pa.binary()))]
             return pa.RecordBatch.from_arrays(arrays, ["part", "first", "ids", "file"])
 
         for batch in batches:
-            for doc, n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                ids = np.frombuffer(ids.as_buffer(), dtype="<u2" if len(ids.as_buffer()) == 2 * n else "<u4")
-                held.append((doc, ids))
-                size += len(ids)
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                held.append((doc, np.array([*encode(text.as_py() or ""), end_id], dtype=np.uint32)))
+                size += len(held[-1][1])
                 if size >= file_ids:
                     yield out()
                     first, held, size = first + size, [], 0
         if held:
             yield out()
 
-    ranged = table.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
+    ranged = read.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     files = ranged.mapInArrow(run, "part int, first long, ids long, file binary")
     (
         files.select("part", "first", "ids", F.col("file").cast("string").alias("value"))
@@ -262,17 +254,6 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     return _per_document(spark, path, "long", make, "ids_crc32")
 
 
-def write_token_files(documents: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> None:
-    """Encode ``documents(doc_id, text)`` and write their ids to files below ``path``.
-
-    Null and empty texts are ``end_id`` alone; texts of any length are whole
-    and never cut by a file's end; rows without id come last, repeated rows as
-    often as they stand; other columns are ignored; an empty table leaves an
-    empty folder, which reads as no documents.
-    """
-    write_files(cut(encode_documents(documents, tokenizer, end_id), "token-ids"), path)
-
-
 def op12_token_files(spark, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     write_token_files(read_documents(spark, sf_dir), path)

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from shelfmill.llm.token_files import (
-    BLOCK, TokenFile, _files, encode_documents, file_bytes, pack, read_digests, read_files, unpack, write_files, write_token_files,
+    BLOCK, TokenFile, _files, file_bytes, pack, read_digests, read_files, unpack, write_token_files,
 )
 
 SCHEMA = "doc_id long, text string, n long, ids string, place int, start long"
@@ -29,12 +29,12 @@ def expected(rows):
     return [(d, [*encoder.encode(t or "", add_special_tokens=False).ids, 2]) for d, t in rows]
 
 
-@pytest.mark.parametrize("file_ids, part_ids", [(1 << 23, 1 << 23), (700, 5000)])
-def test_round_trip(spark, tmp_path, file_ids, part_ids):
+@pytest.mark.parametrize("file_ids, part_bytes", [(1 << 22, 1 << 24), (700, 15_000)])
+def test_round_trip(spark, tmp_path, file_ids, part_bytes):
     rows = odd_rows()
     documents = spark.createDataFrame([(d, t, 1, "x", 2, 3) for d, t in rows], SCHEMA).repartition(3)
     path = str(tmp_path / "files")
-    write_files(encode_documents(documents), path, file_ids, part_ids)
+    write_token_files(documents, path, file_ids=file_ids, part_bytes=part_bytes)
     got = sorted((r.start, r.doc_id, r.n_tokens, list(r.ids)) for r in read_files(spark, path).collect())
     known = expected(rows)
     assert sorted((d is None, d or 0, ids) for _, d, _, ids in got) == sorted((d is None, d or 0, ids) for d, ids in known)
