@@ -34,7 +34,7 @@ from ..rules import LINK, SiteProfile, css_class, equals, has, part, tag
 from ..session import configure, cut, shared_folder
 from ..sources import rendered
 from ..sources.pages import balanced, read_pages, stream_pages
-from ..sources.tables import PRODUCT_COLUMNS, conform, run_timestamp, visited_keys
+from ..sources.tables import PRODUCT_COLUMNS, conform, run_timestamp, stored_rows, visited_keys
 from ..streaming.extract import stream_links
 from .crawl import (
     PARTS, crawl_tables, extract, extract_campaigns, extract_chosen, extract_details, extract_links,
@@ -683,9 +683,9 @@ def _early(pages: DataFrame) -> DataFrame:
 
 @query
 def crawl_pending(spark, sf):
-    """Products that a run left open because their page was not there."""
+    """Products that a run left open because their page was not there."""
     base = _runs(spark, sf, _early(_corpus(spark, sf)))
-    return spark.read.parquet(f"{base}/campaigns-pending/products").select(
+    return stored_rows(spark, f"{base}/campaigns-pending/products", "parquet").select(
         "campaign_url", "page_pos", "pos", "product_url", "product_name", "subcategory"
     )
 
@@ -695,4 +695,4 @@ def crawl_resume(spark, sf):
     """S4, S6, E4s: what a first run left open, a second one appends; read back."""
     pages = _corpus(spark, sf)
     base = _runs(spark, sf, _early(pages), pages)
-    return spark.read.parquet(f"{base}/products").select(*PRODUCT_COLUMNS)
+    return stored_rows(spark, f"{base}/products", "parquet").select(*PRODUCT_COLUMNS)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.urls import is_campaign_url, is_http, is_listing_url, is_product_url, url_id
@@ -22,10 +22,8 @@ from ..operators.tables import first_per_key, frontier, limit_per_key
 from ..operators.tree import shred
 from ..rules import DEFAULT_PROFILE, SiteProfile
 from ..session import cut
-from ..sources.tables import (
-    CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, run_timestamp, stored_rows, visited_keys,
-    write_campaigns, write_products,
-)
+from ..sources.commits import LEGACY, Commit, Manifest, Store
+from ..sources.tables import CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, crawl_store, run_timestamp
 
 
 # ---- fixed value: listings without a name are numbered ----
@@ -161,23 +159,29 @@ def split(extracts: DataFrame) -> Extracts:
     )
 
 
+def found_campaigns(homes: DataFrame) -> DataFrame:
+    """The first card of each campaign on the home pages."""
+    cards = homes.select("page_id", F.inline("cards")).withColumnRenamed("url", "campaign_url")
+    return first_per_key(cards, ["campaign_url"], ["page_id", "pos"])
+
+
 def campaign_frontier(
     homes: DataFrame, visited: DataFrame | None, profile: SiteProfile = DEFAULT_PROFILE,
-    allow_duplicates: bool = False,
+    allow_duplicates: bool = False, entry: int = 1,
 ) -> DataFrame:
-    """New campaigns in order of discovery, up to the limit."""
-    cards = homes.select("page_id", F.inline("cards")).withColumnRenamed("url", "campaign_url")
-    found = first_per_key(cards, ["campaign_url"], ["page_id", "pos"])
-    return frontier(
-        found, visited, "campaign_url", ["page_id", "pos"], profile.max_campaigns,
+    """New campaigns in order of discovery, up to the limit (C24). ``entry`` is
+    the number of the run that finds them."""
+    chosen = frontier(
+        found_campaigns(homes), visited, "campaign_url", ["page_id", "pos"], profile.max_campaigns,
         is_http("campaign_url"), allow_duplicates,
     )
+    return chosen.withColumn("entry", F.lit(entry).cast("long"))
 
 
-STEP_COLUMNS = ("campaign_url", "name", "end_date", "page_pos", "url", "subcategory")
+STEP_COLUMNS = ("campaign_url", "name", "end_date", "page_pos", "url", "subcategory", "entry")
 STUB_COLUMNS = (
     "campaign_url", "page_pos", "pos", "product_url", "product_name", "subcategory", "campaign_name",
-    "campaign_sector", "campaign_end_date",
+    "campaign_sector", "campaign_end_date", "entry",
 )
 
 
@@ -190,13 +194,14 @@ def listing_steps(
     own = campaigns.join(pages.campaigns.select(F.col("url").alias("campaign_url"), "subpages"), "campaign_url")
     plans = own.withColumn("plan", listing_plan("subpages", "campaign_url", profile.max_subpages))
     steps = plans.select(
-        "campaign_url", "name", "end_date", F.posexplode("plan").alias("page_pos", "step")
+        "campaign_url", "name", "end_date", "entry", F.posexplode("plan").alias("page_pos", "step")
     ).select(
         "campaign_url", "name", "end_date", "page_pos", F.col("step.url").alias("url"),
         F.coalesce(
             F.nullif("step.label", F.lit("")),
             F.concat(F.lit(UNNAMED_LISTING), (F.col("page_pos") + 1).cast("string")),
         ).alias("subcategory"),
+        "entry",
     )
     return plans, steps
 
@@ -204,7 +209,7 @@ def listing_steps(
 def product_stubs(hits: DataFrame) -> DataFrame:
     """Distinct products per campaign: the earliest listing's row."""
     flat = hits.select(
-        "campaign_url", "name", "end_date", "page_pos", "subcategory", F.inline("stubs")
+        "campaign_url", "name", "end_date", "page_pos", "subcategory", "entry", F.inline("stubs")
     )
     first = first_per_key(flat, ["campaign_url", "product_url"], ["page_pos", "pos"])
     return first.select(
@@ -212,6 +217,7 @@ def product_stubs(hits: DataFrame) -> DataFrame:
         F.col("name").alias("campaign_name"),
         F.lit("").alias("campaign_sector"),
         F.col("end_date").alias("campaign_end_date"),
+        "entry",
     )
 
 
@@ -234,9 +240,31 @@ def campaign_summary(
         labels_text("subpages").alias("subcategories"),
         F.col("end_date").alias("end_date_text"),
         run_timestamp(run_ts).alias("extraction_timestamp"),
+        "entry",
     )
 
 
+def corrected_campaigns(stored: DataFrame, late: DataFrame, counted: DataFrame) -> DataFrame:
+    """Stored campaigns with the counts that ``late`` listings add.
+
+    ``late`` are hits of campaigns that an earlier run stored, ``counted`` the
+    distinct products that it counted, per campaign and entry. The other
+    columns stay, the timestamp too: the row is still that of its first run."""
+    key = ["campaign_url", "entry"]
+    listed = late.groupBy(*key).agg(F.sum(F.size("stubs")).alias("__listed"))
+    fresh = listed_products(late).join(counted, [*key, "product_url"], "left_anti")
+    unique = fresh.groupBy(*key).agg(F.count("*").alias("__unique"))
+    rows = stored.join(listed, key).join(unique, key, "left")
+    more = {"total_products_count": "__listed", "unique_products_count": "__unique"}
+    sums = {c: F.col(c) + F.coalesce(F.col(n), F.lit(0)) for c, n in more.items()}
+    return rows.withColumns(sums).select(*CAMPAIGN_COLUMNS, "entry")
+
+
+def listed_products(hits: DataFrame) -> DataFrame:
+    """Distinct products per campaign and entry."""
+    return hits.select("campaign_url", "entry", F.explode("stubs.product_url").alias("product_url")).distinct()
+
+
 def chosen_stubs(stubs: DataFrame, profile: SiteProfile = DEFAULT_PROFILE) -> DataFrame:
     """The products to complete: the limit per campaign comes before the join
     with the product pages."""
@@ -260,20 +288,26 @@ def product_rows(
 
 @dataclass(frozen=True)
 class Pending:
-    """Open work: listings of known campaigns, and products, without a page."""
+    """Open work: listings of known campaigns, and products, without a page;
+    and the products that campaigns with open listings have counted so far."""
 
     listings: DataFrame
     products: DataFrame
+    counted: DataFrame
 
 
 def crawl(
     extracts: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE,
     visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
+    stored: DataFrame | None = None, known: DataFrame | None = None, entry: int = 1,
 ) -> tuple[DataFrame, DataFrame, Pending]:
     """``(campaigns, products, pending)`` of a run. ``pending`` of an earlier run
-    is taken up first; limits hold within a run."""
+    is taken up first; limits hold within a run. ``campaigns`` are the new ones
+    and, of ``stored``, those whose counts grow by listings that were open.
+    Products in ``known`` are stored and left alone."""
     pages = split(extracts)
-    new = campaign_frontier(pages.homes, visited, profile, allow_duplicates)
+    key = ["campaign_url", "entry"]
+    new = campaign_frontier(pages.homes, visited, profile, allow_duplicates, entry)
     plans, steps = listing_steps(new, pages, profile)
     every = steps if pending is None else steps.unionByName(pending.listings)
     hits = every.join(pages.listings.select("url", "stubs"), "url")
@@ -282,30 +316,43 @@ def crawl(
     if pending is not None:
         both = chosen.unionByName(pending.products)
         chosen = first_per_key(both, ["campaign_url", "product_url"], ["page_pos", "pos"])
-    fresh = hits.join(plans.select("campaign_url"), "campaign_url", "left_semi") if pending else hits
+    if known is not None:
+        chosen = chosen.join(known, ["campaign_url", "product_url"], "left_anti")
+    fresh = hits.join(plans.select(*key), key, "left_semi") if pending else hits
     own = product_stubs(fresh) if pending else stubs
     campaigns = campaign_summary(plans, fresh, own, run_ts, profile)
+    open_listings = every.join(pages.listings.select("url"), "url", "left_anti").select(*STEP_COLUMNS)
+    counted = listed_products(hits)
+    if pending is not None:
+        if stored is not None:
+            late = hits.join(plans.select(*key), key, "left_anti")
+            campaigns = campaigns.unionByName(corrected_campaigns(stored, late, pending.counted))
+        counted = counted.unionByName(pending.counted).distinct()
     seen_products = pages.products.select(F.col("url").alias("product_url"))
     left = Pending(
-        every.join(pages.listings.select("url"), "url", "left_anti").select(*STEP_COLUMNS),
+        open_listings,
         chosen.join(seen_products, "product_url", "left_anti").select(*STUB_COLUMNS),
+        counted.join(open_listings.select(*key), key, "left_semi"),
     )
-    return campaigns.select(*CAMPAIGN_COLUMNS), product_rows(chosen, pages.products, run_ts, profile), left
+    return campaigns.select(*CAMPAIGN_COLUMNS, "entry"), product_rows(chosen, pages.products, run_ts, profile), left
 
 
 def extract_chosen(
     pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE,
     visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
+    homes: DataFrame | None = None,
 ) -> DataFrame:
     """The extracts that a run needs, in four stages: home pages, pages of new
     campaigns, listings in their plans, chosen products. Each stage parses only
     pages whose URL the one before named, and is written to the shared folder.
+    ``homes`` is the first stage, if it is known.
 
     The keys of a stage are one narrow column, written first so that its size is
     known: few of them are broadcast to the scan; of many, Spark's own Bloom
     filter thins the pages before the join. A stage without keys reads nothing.
     """
-    homes = cut(extract(pages, home, profile, PARTS[:1]), "homes")
+    if homes is None:
+        homes = cut(extract(pages, home, profile, PARTS[:1]), "homes")
 
     def stage(part: Sequence[str], keys: DataFrame) -> DataFrame:
         keys = cut(keys.toDF("url").distinct(), "keys")
@@ -333,47 +380,127 @@ def crawl_tables(
     visited: DataFrame | None = None, allow_duplicates: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(campaigns, products)`` of a run, as DataFrames."""
-    return crawl(extracts, run_ts, profile, visited, allow_duplicates)[:2]
+    campaigns, products, _ = crawl(extracts, run_ts, profile, visited, allow_duplicates)
+    return campaigns.select(*CAMPAIGN_COLUMNS), products
+
+
+NO_CAMPAIGN = "no campaign on the home pages"
+
+
+def _open_work(store: Store, base: Manifest) -> Pending | None:
+    if not (base.tables["open_listings"] or base.tables["open_products"]):
+        return None
+    listings, products = (store.read(n, base).fillna(-1, ["entry"]) for n in ("open_listings", "open_products"))
+    counted = store.read("open_counted", base)
+    if base.version == 0:
+        # Tables of plain files do not say what was counted: products that are stored or open were.
+        both = store.read("products", base).select("campaign_url", "product_url").union(products.select("campaign_url", "product_url"))
+        counted = both.withColumn("entry", F.lit(-1).cast("long")).select("campaign_url", "entry", "product_url").distinct()
+    return Pending(listings, products, counted)
+
+
+def _unkeyed(base: Manifest, rows: str, keys: str) -> bool:
+    """Whether stored rows are not in their key table, as they are plain files."""
+    return LEGACY in base.tables[rows] and not base.tables[keys]
+
+
+def _stored_keys(store: Store, base: Manifest, rows: str, keys: str, candidates: DataFrame) -> DataFrame:
+    """Keys of stored rows that share the candidates' values."""
+    if _unkeyed(base, rows, keys):
+        named = store.read(rows, base).select(*store.read(keys, base).columns)
+        return named.join(candidates, candidates.columns, "left_semi").distinct()
+    return store.matching(keys, candidates, base)
+
+
+def _reject(commit: Commit, pages: DataFrame, bad: DataFrame) -> None:
+    """Keep unreadable pages, ``bad(page_id, url, error)``, with their HTML; each once."""
+    known = commit.store.read("rejects", commit.base).select("page_id", "url", "error")
+    same = lambda a, b, names: [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names]
+    new = cut(bad.distinct().alias("b").join(known.alias("k"), same("b", "k", ("page_id", "url", "error")), "left_anti"), "rejects")
+    if not new.isEmpty():
+        rows = pages.select("page_id", "url", "html").alias("p").join(new.alias("b"), same("p", "b", ("page_id", "url")))
+        commit.append("rejects", rows.select("p.*", "b.error").dropDuplicates(["page_id", "url", "error"]))
+
+
+def store_run(
+    store: Store, pages: DataFrame, extracts: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE,
+    visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
+) -> dict[str, int]:
+    """Write all that a run found as one commit; returns the rows per table.
+
+    A run that stops anywhere before the end leaves the tables as they were. Raises
+    ``Conflict`` if another run committed since this one began."""
+    commit = store.begin()
+    base, key = commit.base, ["campaign_url", "product_url"]
+    stored = store.read("campaigns", base, pending.listings.select("campaign_url").distinct()) if pending else None
+    known = None
+    if not allow_duplicates:
+        listed = split(extracts).listings.select(F.explode("stubs.product_url").alias("product_url"))
+        if pending:
+            listed = listed.unionByName(pending.products.select("product_url"))
+        known = _stored_keys(store, base, "products", "product_keys", cut(listed.distinct(), "listed"))
+    campaigns, products, left = crawl(
+        extracts, run_ts, profile, visited, allow_duplicates, pending, stored, known, commit.version
+    )
+    commit.append("products", products)
+    new_keys = commit.staged("products").select(*key)
+    if _unkeyed(base, "products", "product_keys"):
+        new_keys = new_keys.unionByName(store.read("products", base).select(*key)).distinct()
+    commit.append("product_keys", new_keys)
+    commit.replace("open_listings", left.listings)
+    commit.replace("open_products", left.products)
+    commit.replace("open_counted", left.counted)
+    commit.append("campaigns", campaigns)
+    added = commit.staged("campaigns").filter(F.col("entry") == commit.version).select("campaign_url")
+    if _unkeyed(base, "campaigns", "campaign_keys"):
+        added = added.unionByName(store.read("campaigns", base).select("campaign_url")).distinct()
+    commit.append("campaign_keys", added)
+    _reject(commit, pages, extracts.filter("error is not null").select("page_id", "url", "error"))
+    commit.publish()
+    return commit.written
 
 
 def run(
     pages: DataFrame, home: Column | list[str], campaigns_path: str, products_path: str, run_ts: str,
     profile: SiteProfile = DEFAULT_PROFILE, fmt: str = "csv", allow_duplicates: bool = False,
     rejects_path: str | None = None, pending_path: str | None = None,
-) -> None:
-    """Read pages, write both tables, the rejects and what is left open.
+) -> dict[str, int]:
+    """Read pages, write both tables, the rejects and what is left open; returns counters.
 
     Only pages that the run needs are parsed (``extract_chosen``), and once.
-    Products are written before campaigns: a campaign counts as visited only when
-    its products are stored or listed as open. Listings and products without a
-    readable page go to ``pending_path`` (by default beside the campaigns), and
-    the next run takes them up. Unreadable pages are appended to
-    ``rejects_path``. A run that is repeated after a loss between writes adds no
-    product twice. Home pages without any campaign are an error.
+    Everything is written as one commit (``sources.commits``): a run that stops
+    before its end leaves all tables as they were, and a repeated one adds nothing
+    twice. ``stored_rows`` reads the tables. Listings and products without a
+    readable page go to ``pending_path`` (by default beside the campaigns), and the
+    next run takes them up; a campaign whose open listings come in gets its counts
+    corrected. Unreadable pages are kept in ``rejects_path`` with their HTML. Home
+    pages without any campaign are kept there too, and are an error.
+
+    The counters: campaigns ``found`` on the home pages, ``skipped`` as stored and
+    ``new``; ``campaigns`` and ``products`` written (``corrected`` campaigns apart),
+    ``rejected`` pages, ``open_listings`` and ``open_products``. They are observed
+    while the tables are written; no job is run for them.
     """
     spark = pages.sparkSession
-    beside = campaigns_path.rstrip("/")
-    visited = None if allow_duplicates else visited_keys(spark, campaigns_path, "campaign_url", fmt)
-    open_ = Pending(*[stored_rows(spark, f"{pending_path or f'{beside}-pending'}/{n}", "parquet") for n in ("listings", "products")])
-    pending = open_ if open_.listings is not None and open_.products is not None else None
-    extracts = extract_chosen(pages, home, profile, visited, allow_duplicates, pending)
-    bad = extracts.filter("error is not null").select("page_id", "url", "error").distinct()
-    bad.write.mode("append").parquet(rejects_path or f"{beside}-rejects")
-    if extracts.filter("is_home and size(cards) > 0").isEmpty():
-        raise ValueError("no campaign on the home pages")
-    campaigns, products, left = crawl(extracts, run_ts, profile, visited, allow_duplicates, pending)
-    # The stored tables are read above and written below: fix the rows first.
-    campaigns = cut(campaigns, "campaigns")
-    left = Pending(cut(left.listings, "listings"), cut(left.products, "products"))
-    stored = None if allow_duplicates else stored_rows(spark, products_path, fmt)
-    if stored is not None:
-        known = stored.select("campaign_url", "product_url")
-        new = products.join(known, ["campaign_url", "product_url"], "left_anti")
-        products = cut(new, "products")
-    else:
-        products = cut(products, "products")
-    write_products(products, products_path, fmt)
-    for name, table in (("listings", left.listings), ("products", left.products)):
-        table.write.mode("overwrite").parquet(f"{pending_path or f'{beside}-pending'}/{name}")
-    if not campaigns.isEmpty():
-        write_campaigns(campaigns, campaigns_path, fmt)
+    store = crawl_store(spark, campaigns_path, products_path, fmt, rejects_path, pending_path)
+    base = store.manifest()
+    pending = _open_work(store, base)
+    homes = cut(extract(pages, home, profile, PARTS[:1]), "homes")
+    found, skipped = Observation(), Observation()
+    rows = F.count(F.lit(1)).alias("rows")
+    cards = cut(found_campaigns(split(homes).homes).select("campaign_url").observe(found, rows), "found")
+    if cards.isEmpty():
+        commit = store.begin()
+        bad = homes.filter("is_home").select("page_id", "url", F.coalesce("error", F.lit(NO_CAMPAIGN)).alias("error"))
+        _reject(commit, pages, bad)
+        commit.publish()
+        raise ValueError(NO_CAMPAIGN)
+    visited = cut(_stored_keys(store, base, "campaigns", "campaign_keys", cards).observe(skipped, rows), "visited")
+    extracts = extract_chosen(pages, home, profile, None if allow_duplicates else visited, allow_duplicates, pending, homes)
+    written = store_run(store, pages, extracts, run_ts, profile, None if allow_duplicates else visited, allow_duplicates, pending)
+    n_found, n_stored = found.get["rows"], 0 if allow_duplicates else skipped.get["rows"]
+    return {
+        "found": n_found, "skipped": n_stored, "new": n_found - n_stored, "campaigns": written["campaign_keys"],
+        "corrected": written["campaigns"] - written["campaign_keys"], "products": written["products"],
+        "rejected": written.get("rejects", 0), "open_listings": written["open_listings"], "open_products": written["open_products"],
+    }
