@@ -249,6 +249,12 @@ def subpages(campaign_url: Column | str = "url", profile: SiteProfile = DEFAULT_
     Category-tree links, then navigation links; repeats stay. The active
     category, which has no link, goes first under the campaign's own URL.
     """
+    build = _subpages if isinstance(campaign_url, str) else _subpages.__wrapped__
+    return build(campaign_url, profile)
+
+
+@built_once
+def _subpages(campaign_url: Column | str, profile: SiteProfile) -> Column:
     page = Page(profile)
     own = as_col(campaign_url)
     resolve = lambda h: resolve_url(h, profile.base_url)

@@ -40,7 +40,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFr
 def with_position(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], position: str = "position"
 ) -> DataFrame:
-    """1-based position of every row within its key (W3), with no size limit
+    """1-based position of every row within its key (W3), as a long, with no size limit
     on a key: rows are cut into ranges of (key, order), numbered inside each
     range, and shifted by what earlier ranges hold of the same key.
 
@@ -67,7 +67,7 @@ def with_position(
     on = [local[k].eqNullSafe(shifts[k]) for k in [*keys, "__range"]]
     joined = local.join(F.broadcast(shifts), on, "left")
     at = F.col("__local") + F.coalesce(F.col("__shift"), F.lit(0))
-    return joined.select(*[local[c] for c in df.columns], at.cast("int").alias(position))
+    return joined.select(*[local[c] for c in df.columns], at.cast("long").alias(position))
 
 
 def unseen(

@@ -34,7 +34,7 @@ from ..rules import LINK, SiteProfile, css_class, equals, has, part, tag
 from ..session import configure, cut, shared_folder
 from ..sources import rendered
 from ..sources.pages import balanced, read_pages, stream_pages
-from ..sources.tables import PRODUCT_COLUMNS, conform, run_timestamp, stored_rows, visited_keys
+from ..sources.tables import CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, run_timestamp, stored_rows, visited_keys
 from ..streaming.extract import stream_links
 from .crawl import (
     PARTS, crawl_tables, extract, extract_campaigns, extract_chosen, extract_details, extract_links,
@@ -666,14 +666,32 @@ def crawl_products(spark, sf):
     return crawl_tables(extract_chosen(_corpus(spark, sf), rendered.is_home()), RUN_TS)[1]
 
 
+def _crawl_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/crawl-{uuid.uuid4().hex}"
+
+
 def _runs(spark: SparkSession, sf: str, *captured: DataFrame) -> str:
     """Folder of the tables after runs over these pages, one after another."""
-    base = f"{shared_folder(spark)}/crawl-{uuid.uuid4().hex}"
+    base = _crawl_folder(spark)
     for pages in captured:
         run(pages, rendered.is_home(), f"{base}/campaigns", f"{base}/products", RUN_TS, fmt="parquet")
     return base
 
 
+def _listing_runs(spark: SparkSession, sf: str) -> tuple[str, list[dict[str, int]]]:
+    """Folder and counters of two runs that take no product: the first without
+    every second listing `/b`, the second without every tenth."""
+    base, pages = _crawl_folder(spark), _shop_pages(spark, sf)
+    found = [
+        run(
+            pages.filter(~F.col("url").rlike(late)), rendered.is_home(), f"{base}/campaigns", f"{base}/products", RUN_TS,
+            SiteProfile(max_products=0), "parquet",
+        )
+        for late in ("[02468]/b$", "0/b$")
+    ]
+    return base, found
+
+
 def _early(pages: DataFrame) -> DataFrame:
     """Without every third product page and every second listing `/b`."""
     late = F.col("url").rlike(r"/p/\d+$") & (F.substring_index("url", "/", -1).cast("long") % 3 == 0)
@@ -696,3 +714,26 @@ def crawl_resume(spark, sf):
     pages = _corpus(spark, sf)
     base = _runs(spark, sf, _early(pages), pages)
     return stored_rows(spark, f"{base}/products", "parquet").select(*PRODUCT_COLUMNS)
+
+
+@query
+def crawl_counts_resumed(spark, sf):
+    """Campaigns read back after a second run brought open listings."""
+    base, _ = _listing_runs(spark, sf)
+    return stored_rows(spark, f"{base}/campaigns", "parquet").select(*CAMPAIGN_COLUMNS)
+
+
+@query
+def crawl_counters(spark, sf):
+    """What each of two runs reports."""
+    _, found = _listing_runs(spark, sf)
+    names = ("found", "skipped", "new", "campaigns", "corrected", "open_listings")
+    rows = [(i + 1, name, counters[name]) for i, counters in enumerate(found) for name in names]
+    return spark.createDataFrame(rows, "run int, counter string, value long")
+
+
+@query
+def crawl_visited(spark, sf):
+    """Keys of stored campaigns, from the files of the key table alone."""
+    base, _ = _listing_runs(spark, sf)
+    return visited_keys(spark, f"{base}/campaigns")

@@ -7,7 +7,7 @@ each stage parses just the pages that the stage before called for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -130,7 +130,7 @@ def extract(
     if "homes" in parts:
         found["cards"] = F.when(home, campaign_cards(profile))
     if "campaigns" in parts:
-        found["subpages"] = F.when(campaign, subpages(url, profile))
+        found["subpages"] = F.when(campaign, subpages("url", profile))
     if "listings" in parts:
         found["stubs"] = F.when(listing, product_cards(profile))
     if "products" in parts:
@@ -300,17 +300,20 @@ def crawl(
     extracts: DataFrame, run_ts: str, profile: SiteProfile = DEFAULT_PROFILE,
     visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
     stored: DataFrame | None = None, known: DataFrame | None = None, entry: int = 1,
+    hold: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> tuple[DataFrame, DataFrame, Pending]:
     """``(campaigns, products, pending)`` of a run. ``pending`` of an earlier run
     is taken up first; limits hold within a run. ``campaigns`` are the new ones
     and, of ``stored``, those whose counts grow by listings that were open.
-    Products in ``known`` are stored and left alone."""
+    Products in ``known`` are stored and left alone. ``hold`` is given what several
+    results use, to write it once (``cut``) where all of them are wanted."""
     pages = split(extracts)
     key = ["campaign_url", "entry"]
     new = campaign_frontier(pages.homes, visited, profile, allow_duplicates, entry)
     plans, steps = listing_steps(new, pages, profile)
-    every = steps if pending is None else steps.unionByName(pending.listings)
-    hits = every.join(pages.listings.select("url", "stubs"), "url")
+    plans = hold(plans, "plans")
+    every = hold(steps if pending is None else steps.unionByName(pending.listings), "steps")
+    hits = hold(every.join(pages.listings.select("url", "stubs"), "url"), "hits")
     stubs = product_stubs(hits)
     chosen = chosen_stubs(stubs, profile)
     if pending is not None:
@@ -318,10 +321,11 @@ def crawl(
         chosen = first_per_key(both, ["campaign_url", "product_url"], ["page_pos", "pos"])
     if known is not None:
         chosen = chosen.join(known, ["campaign_url", "product_url"], "left_anti")
+    chosen = hold(chosen, "chosen")
     fresh = hits.join(plans.select(*key), key, "left_semi") if pending else hits
     own = product_stubs(fresh) if pending else stubs
     campaigns = campaign_summary(plans, fresh, own, run_ts, profile)
-    open_listings = every.join(pages.listings.select("url"), "url", "left_anti").select(*STEP_COLUMNS)
+    open_listings = hold(every.join(pages.listings.select("url"), "url", "left_anti").select(*STEP_COLUMNS), "open")
     counted = listed_products(hits)
     if pending is not None:
         if stored is not None:
@@ -440,7 +444,7 @@ def store_run(
             listed = listed.unionByName(pending.products.select("product_url"))
         known = _stored_keys(store, base, "products", "product_keys", cut(listed.distinct(), "listed"))
     campaigns, products, left = crawl(
-        extracts, run_ts, profile, visited, allow_duplicates, pending, stored, known, commit.version
+        extracts, run_ts, profile, visited, allow_duplicates, pending, stored, known, commit.version, cut
     )
     commit.append("products", products)
     new_keys = commit.staged("products").select(*key)

@@ -138,6 +138,9 @@ _STEPS = """
 _STUBS = f"""
   SELECT s_suppkey, page, label, tail, i - low AS pos, s_suppkey * 20 + i AS part_key
   FROM supplier, ({_STEPS}), unnest(range(30)) r(i) WHERE i BETWEEN low AND high"""
+# The listings of a campaign's plan: its own page, and the two others twice.
+_PLANNED = f"""
+  SELECT s.* FROM ({_STUBS}) s UNION ALL SELECT s.* FROM ({_STUBS}) s WHERE tail <> ''"""
 _RUN_TS = "2024-05-01 12:00:00"
 
 
@@ -318,7 +321,7 @@ def all_oracles() -> dict[str, str]:
             SELECT o_custkey, o_orderkey, rn::INT AS position FROM (SELECT *, row_number() OVER
               (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 3""",
         "event_positions": """
-            SELECT event_type, event_id, (row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id))::INT AS position
+            SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS position
             FROM events""",
         "run_counters": """
             SELECT count(*) AS found, count(*) FILTER (o_orderstatus = 'F') AS skipped,
@@ -347,6 +350,25 @@ def all_oracles() -> dict[str, str]:
                    'Marca ' || s_suppkey AS brand_name, 'Todo, Moda, Casa, Moda, Casa' AS subcategories,
                    'acaba en ' || (s_suppkey % 9 + 1) || ' días' AS end_date_text, '{_RUN_TS}' AS extraction_timestamp
             FROM supplier""",
+        "crawl_counts_resumed": f"""
+            SELECT s_suppkey::VARCHAR AS campaign_id, '{_SHOP}/catalog/' || s_suppkey AS campaign_url,
+                   count(*) AS total_products_count, count(DISTINCT part_key) AS unique_products_count,
+                   'Marca ' || s_suppkey AS brand_name, 'Todo, Moda, Casa, Moda, Casa' AS subcategories,
+                   'acaba en ' || (s_suppkey % 9 + 1) || ' días' AS end_date_text, '{_RUN_TS}' AS extraction_timestamp
+            FROM ({_PLANNED}) WHERE NOT (tail = '/b' AND s_suppkey % 10 = 0) GROUP BY s_suppkey""",
+        "crawl_counters": f"""
+            WITH n AS (
+              SELECT count(*) AS n, count(*) FILTER (s_suppkey % 2 = 0) AS later, count(*) FILTER (s_suppkey % 10 = 0) AS never FROM supplier
+            )
+            SELECT run, counter, value::BIGINT AS value FROM n, unnest([
+              {{'run': 1, 'counter': 'found', 'value': 2 * n}}, {{'run': 1, 'counter': 'skipped', 'value': 0}},
+              {{'run': 1, 'counter': 'new', 'value': 2 * n}}, {{'run': 1, 'counter': 'campaigns', 'value': n}},
+              {{'run': 1, 'counter': 'corrected', 'value': 0}}, {{'run': 1, 'counter': 'open_listings', 'value': 2 * later}},
+              {{'run': 2, 'counter': 'found', 'value': 2 * n}}, {{'run': 2, 'counter': 'skipped', 'value': n}},
+              {{'run': 2, 'counter': 'new', 'value': n}}, {{'run': 2, 'counter': 'campaigns', 'value': 0}},
+              {{'run': 2, 'counter': 'corrected', 'value': later - never}}, {{'run': 2, 'counter': 'open_listings', 'value': 2 * never}}
+            ]) AS t(u), LATERAL (SELECT u.run AS run, u.counter AS counter, u.value AS value)""",
+        "crawl_visited": f"SELECT '{_SHOP}/catalog/' || s_suppkey AS campaign_url FROM supplier",
         "crawl_products": _PRODUCTS,
         "crawl_resume": _PRODUCTS,
         "crawl_pending": f"""

@@ -207,9 +207,10 @@ class Commit:
         """Add rows. A key table of many folders is written as one."""
         if self.store.tables[name].bucket and len(self.tables[name]) >= MOST_FOLDERS:
             before = self.store.read(name, Manifest(self.version, self.tables)).drop("bucket")
-            added = self.written.get(name, 0)
-            self.tables[name] = self._write(name, before.unionByName(rows.select(*before.columns)))
-            self.written[name] = added
+            added, earlier = Observation(), self.written.get(name, 0)
+            rows = rows.select(*before.columns).observe(added, F.count(F.lit(1)).alias("rows"))
+            self.tables[name] = self._write(name, before.unionByName(rows))
+            self.written[name] = earlier + added.get["rows"]
         else:
             self.tables[name] += self._write(name, rows)
 

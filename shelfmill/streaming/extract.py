@@ -8,38 +8,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.tables import first_per_key
 from ..plans.crawl import extract_details, extract_links
 from ..rules import DEFAULT_PROFILE, SiteProfile
-from ..sources.tables import stored_rows
+
+
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def stream_table(
     rows: DataFrame, path: str, checkpoint: str, keys: list[str], order: Sequence[str] = ("page_id",),
 ) -> StreamingQuery:
-    """Append the first row per key, by ``order``; stop when all present input is
-    read. Keys that an earlier batch stored are left out.
+    """Append the first row per key, by ``order``, of the batch that first holds
+    the key; stop when all present input is read.
 
-    Each batch is a folder ``batch=<number>`` of Parquet files and is written
-    whole, so a batch that is repeated after a failure replaces itself. What is
-    known of a key is the table itself: no state grows in memory. A task sends at
-    most one row per key, so a hot key is no hot task.
+    Which keys are known is state, kept by key in RocksDB on the executors' disks
+    and saved in ``checkpoint``: a batch reads its new input and the state of
+    its own keys, however many rows are stored. Each task sends one row per key
+    to the state, so a hot key is no hot task. Each batch is a folder
+    ``batch=<number>`` of Parquet files, written whole, so a batch that is
+    repeated after a failure replaces itself, and a restart adds nothing.
     """
+    spark = rows.sparkSession
+    # All rows of a batch have its start as ``now``, also when it is repeated.
+    now = F.current_timestamp()
+    first = (
+        rows.withColumn("__now", now).groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+            F.min_by(F.struct(*rows.columns), F.struct("__now", *order)).alias("row"),
+            F.min("__now").alias("first"), F.max("__now").alias("last"),
+        )
+    )
 
     def write(batch: DataFrame, number: int) -> None:
-        new = first_per_key(batch, keys, list(order))
-        stored = stored_rows(batch.sparkSession, path, "parquet")
-        if stored is not None and "batch" in stored.columns:
-            earlier = stored.filter(F.col("batch") < number).select(*keys).distinct()
-            new = new.join(earlier, keys, "left_anti").select(*batch.columns)
+        # A batch gets all its keys; those that it holds first have no earlier time.
+        new = batch.filter("first = last").select("row.*")
         new.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return (
-        rows.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    kind = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(kind)
+    spark.conf.set(kind, STATE_STORE)
+    try:
+        return (
+            first.writeStream.outputMode("update").foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(kind, before)
 
 
 def stream_details(
