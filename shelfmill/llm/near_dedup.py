@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PrefixHash, cut, filter_of, id_or_last, id_or_null, in_filter, mix, read_documents, shingles
+from .common import PrefixHash, cut, filter_of, in_filter, mix, read_documents, shingles
 from .components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -50,11 +50,16 @@ def multipliers(registers: int = REGISTERS) -> np.ndarray:
 
 def _key():
     """Tells rows apart by id and text, as rows may share an id."""
-    return F.xxhash64(id_or_last("doc_id"), F.col("text").cast("string"))
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    return documents.select(id_or_last("doc_id").alias("id"), _key().alias("key"), F.col("text").cast("string").alias("text"))
+    return documents.select(F.col("doc_id").cast("long").alias("id"), _key().alias("key"), F.col("text").cast("string").alias("text"))
+
+
+def _place(id_: str = "id", key: str = "key"):
+    """Order of rows: by id, those without one last, then by key."""
+    return F.struct(F.col(id_).isNull().alias("none"), F.col(id_).alias("id"), F.col(key).alias("key"))
 
 
 def sketches(documents: DataFrame) -> DataFrame:
@@ -153,38 +158,56 @@ def bands(classes: DataFrame) -> DataFrame:
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's smallest."""
+    """Each member with the smallest that it meets in any bucket: one pair at most."""
     least = members.groupBy("band", "value").agg(F.min("id").alias("a"))
-    return members.join(least, ["band", "value"]).where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    return members.join(least, ["band", "value"]).where("a <> id").groupBy(F.col("id").alias("b")).agg(F.min("a").alias("a")).select("a", "b")
 
 
-def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of buckets that hold several components still, members of one
-    component left aside. Large buckets are cut into blocks, and a pair of blocks
-    is a task; only pairs that the sketches allow come out."""
+def _tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows ``(band, value, kind, i, j, block, big, id, component)`` of buckets that
+    hold several components still. A bucket's largest component is cut into
+    blocks, all others together too. Tiles of ``kind`` 0 hold a block of each,
+    those of ``kind`` 1 two blocks of the others: the largest component meets
+    none of itself, and a stray member costs it no copy but one."""
+    bucket = ["band", "value"]
     marked = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = marked.groupBy("band", "value").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
-    ).where("low <> high")
-    rows = marked.join(mixed.select("band", "value", "size"), ["band", "value"]).join(
-        classes.select("id", "n", "registers"), "id"
-    )
-    rows = rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("other", other).select(
-        "band", "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
-        "id", "component", "n", "registers",
+    sizes = marked.groupBy(*bucket, "component").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy(*bucket).agg(
+        F.max(F.struct("size", "component")).alias("largest"), F.sum("size").alias("all"), F.count("*").alias("components")
+    ).where("components > 1")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = mixed.select(
+        *bucket, F.col("largest.component").alias("top"), blocks(F.col("largest.size")).alias("of_top"),
+        blocks(F.col("all") - F.col("largest.size")).alias("of_rest"),
     )
+    rows = marked.join(mixed, bucket).withColumn("big", F.col("component") == F.col("top"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("big"), F.col("of_top")).otherwise(F.col("of_rest"))).cast("int"))
+    tile = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    block, upto = F.col("block"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    tiles = F.when(F.col("big"), F.transform(upto("of_rest"), lambda x: tile(0, block, x))).otherwise(F.concat(
+        F.transform(upto("of_top"), lambda x: tile(0, x, block)),
+        F.transform(upto("of_rest"), lambda x: tile(1, F.least(block, x), F.greatest(block, x))),
+    ))
+    return rows.select(*bucket, F.explode(tiles).alias("tile"), "block", "big", "id", "component").select(*bucket, "tile.*", "block", "big", "id", "component")
+
+
+def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of members of different components that share a bucket, tile by
+    tile; only pairs that the sketches allow come out."""
+    rows = _tiles(members, labels).join(classes.select("id", "n", "registers"), "id")
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp, n, block = (table[c].to_numpy() for c in ("id", "component", "n", "block"))
+        ids, comp, n, block, big = (table[c].to_numpy() for c in ("id", "component", "n", "block", "big"))
         registers = _registers(table["registers"])
         words, band = _words(registers), table["band"][0].as_py()
-        same = table["i"][0].as_py() == table["j"][0].as_py()
-        first = np.flatnonzero(block == table["i"][0].as_py())
-        second = first if same else np.flatnonzero(block == table["j"][0].as_py())
+        if table["kind"][0].as_py() == 0:
+            first, second, same = np.flatnonzero(~big), np.flatnonzero(big), False
+        else:
+            same = table["i"][0].as_py() == table["j"][0].as_py()
+            first = np.flatnonzero(block == table["i"][0].as_py())
+            second = first if same else np.flatnonzero(block == table["j"][0].as_py())
+        if len(first) > len(second):
+            first, second = second, first
         out = [np.zeros((2, 0), np.int64)]
         for x in first:
             y = second[(comp[second] != comp[x]) & ((ids[second] > ids[x]) | (not same))]
@@ -201,8 +224,8 @@ def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> D
 
     # Blocks are small in bytes and long in work: keep them apart.
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(2 * width, "band", "value", "i", "j")
-    return rows.groupBy("band", "value", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    rows = rows.repartition(2 * width, "band", "value", "kind", "i", "j")
+    return rows.groupBy("band", "value", "kind", "i", "j").applyInArrow(run, "a long, b long").distinct()
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -246,8 +269,8 @@ def near_dedup(documents: DataFrame) -> DataFrame:
     named by its smallest id, and ``kept`` is whether that is the row's own.
 
     Equal word sequences are one class from the start, named by its smallest id.
-    Classes that share a band are candidates: first each with its bucket's
-    smallest, then, in buckets that still hold several components, the pairs
+    Classes that share a band are candidates: first each with the smallest that
+    it meets, then, in buckets that still hold several components, the pairs
     between those. Candidates pass the joint likelihood of their sketches and
     are confirmed on full sets. Links, components and sketches stay in Spark.
 
@@ -257,18 +280,18 @@ def near_dedup(documents: DataFrame) -> DataFrame:
     its answer. Other columns are ignored; an empty table gives an empty result.
     """
     return near_classes(documents).select(
-        id_or_null("id").alias("doc_id"), F.col("n").alias("n_shingles"), id_or_null("component").alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.when(F.col("id").isNull(), F.col("key") == F.col("head")).otherwise(F.col("id") == F.col("component")).alias("kept"),
     )
 
 
 def near_classes(documents: DataFrame) -> DataFrame:
-    """``id, key, n, component, head`` per row, ids as :func:`id_or_last` numbers
-    them: the component's smallest id, and the key of one row that has it. Classes
-    are known by the key of their first row, so texts that share an id stay apart."""
+    """``id, key, n, component, head`` per row: the component's smallest id, null
+    if it has none, and the key of one row that has it. Classes are known by the
+    key of their first row, so texts that share an id stay apart."""
     rows = cut(sketches(documents), "sketches")
     grouped = rows.where("n > 0").groupBy("digest").agg(
-        F.min(F.struct("id", "key")).alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers")
+        F.min(_place()).alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers")
     )
     classes = cut(
         grouped.select("digest", F.col("first.key").alias("id"), F.col("first.id").alias("doc"), "n", "registers"), "classes"
@@ -292,12 +315,12 @@ def near_classes(documents: DataFrame) -> DataFrame:
         links = cut(links.unionByName(_verify(more, text_of(more))), "links")
         labels = components(links)
     marked = labels.join(classes.select("id", "doc"), "id")
-    heads = marked.groupBy("component").agg(F.min(F.struct(F.col("doc").alias("id"), F.col("id").alias("key"))).alias("least"))
+    heads = marked.groupBy("component").agg(F.min(_place("doc", "id")).alias("least"))
     linked = labels.join(heads, "component").select("id", "least")
     named = classes.join(linked, "id", "left").select(
-        "digest", F.coalesce("least", F.struct(F.col("doc").alias("id"), F.col("id").alias("key"))).alias("least")
+        "digest", F.coalesce("least", _place("doc", "id")).alias("least")
     )
-    out = rows.drop("registers").join(named, "digest", "left").withColumn("least", F.coalesce("least", F.struct("id", "key")))
+    out = rows.drop("registers").join(named, "digest", "left").withColumn("least", F.coalesce("least", _place()))
     return out.select("id", "key", "n", F.col("least.id").alias("component"), F.col("least.key").alias("head"))
 
 
