@@ -22,7 +22,9 @@ REGISTERS, BANDS, BAND, BASE, OFFSET = 512, 32, 4, 1.001, 4.0
 # A pair stays a candidate unless the best similarity of 0.75 or more is less
 # likely than the likeliest by so many nats (5.5 standard deviations).
 NATS = 15.0
-BLOCK, FAN, FILTER_BITS = 1024, 256, 1 << 26
+# Members and shingles of a block, pairs that share a set's making, shingles that are held
+# against members at once, bits of the filter of ids whose texts move.
+BLOCK, BLOCK_SHINGLES, FAN, COLUMNS, FILTER_BITS = 1024, 1 << 21, 256, 2048, 1 << 26
 
 
 def word_bytes(text: str | None) -> bytes:
@@ -141,7 +143,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def bands(classes: DataFrame) -> DataFrame:
-    """``id, band, value``: four 16-bit registers are one 64-bit number."""
+    """``id, n, band, value``: four 16-bit registers are one 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,12 +151,12 @@ def bands(classes: DataFrame) -> DataFrame:
                 values = _words(_registers(batch.column("registers")))
                 n, m = values.shape
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column("id").to_numpy(), m)), pa.array(np.tile(np.arange(m, dtype=np.int32), n)),
+                    [*(pa.array(np.repeat(batch.column(c).to_numpy(), m)) for c in ("id", "n")), pa.array(np.tile(np.arange(m, dtype=np.int32), n)),
                      pa.array(values.reshape(-1))],
-                    ["id", "band", "value"],
+                    ["id", "n", "band", "value"],
                 )
 
-    return classes.select("id", "registers").mapInArrow(run, "id long, band int, value long")
+    return classes.select("id", "n", "registers").mapInArrow(run, "id long, n long, band int, value long")
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
@@ -164,21 +166,23 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 
 
 def _tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows ``(band, value, kind, i, j, block, big, id, component)`` of buckets that
-    hold several components still. A bucket's largest component is cut into
+    """Rows ``(band, value, kind, i, j, block, big, id, component)`` of buckets
+    ``(id, n, band, value)`` that hold several components still. A bucket's largest component is cut into
     blocks, all others together too. Tiles of ``kind`` 0 hold a block of each,
     those of ``kind`` 1 two blocks of the others: the largest component meets
     none of itself, and a stray member costs it no copy but one."""
     bucket = ["band", "value"]
     marked = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    sizes = marked.groupBy(*bucket, "component").agg(F.count("*").alias("size"))
+    sizes = marked.groupBy(*bucket, "component").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
     mixed = sizes.groupBy(*bucket).agg(
-        F.max(F.struct("size", "component")).alias("largest"), F.sum("size").alias("all"), F.count("*").alias("components")
+        F.max(F.struct("size", "component", "shingles")).alias("largest"), F.sum("size").alias("size"),
+        F.sum("shingles").alias("shingles"), F.count("*").alias("components"),
     ).where("components > 1")
-    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    blocks = lambda size, n: F.greatest(F.ceil(size / BLOCK), F.ceil(n / BLOCK_SHINGLES), F.lit(1)).cast("int")
+    top = F.col("largest")
     mixed = mixed.select(
-        *bucket, F.col("largest.component").alias("top"), blocks(F.col("largest.size")).alias("of_top"),
-        blocks(F.col("all") - F.col("largest.size")).alias("of_rest"),
+        *bucket, top["component"].alias("top"), blocks(top["size"], top["shingles"]).alias("of_top"),
+        blocks(F.col("size") - top["size"], F.col("shingles") - top["shingles"]).alias("of_rest"),
     )
     rows = marked.join(mixed, bucket).withColumn("big", F.col("component") == F.col("top"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.when(F.col("big"), F.col("of_top")).otherwise(F.col("of_rest"))).cast("int"))
@@ -191,26 +195,37 @@ def _tiles(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select(*bucket, F.explode(tiles).alias("tile"), "block", "big", "id", "component").select(*bucket, "tile.*", "block", "big", "id", "component")
 
 
-def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of members of different components that share a bucket, tile by
-    tile; only pairs that the sketches allow come out."""
+TILE = ["band", "value", "kind", "i", "j"]
+_ROW = "band int, value long, kind int, i int, j int, block int, big boolean, id long, component long"
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
+    """The rows of a tile that meet each other, and whether both sides are the same."""
+    kind, i, j = (table[c][0].as_py() for c in ("kind", "i", "j"))
+    if kind == 0:
+        big = table["big"].to_numpy()
+        return np.flatnonzero(~big), np.flatnonzero(big), False
+    block = table["block"].to_numpy()
+    first = np.flatnonzero(block == i)
+    return (first, first, True) if i == j else (first, np.flatnonzero(block == j), False)
+
+
+def _suspects(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of each tile that may be linked, as their sketches allow, with a
+    row of another component there; at most the tile's rows, and no pairs."""
     rows = _tiles(members, labels).join(classes.select("id", "n", "registers"), "id")
+    names = [f.split()[0] for f in _ROW.split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
-        ids, comp, n, block, big = (table[c].to_numpy() for c in ("id", "component", "n", "block", "big"))
+        comp, n = (table[c].to_numpy() for c in ("component", "n"))
         registers = _registers(table["registers"])
         words, band = _words(registers), table["band"][0].as_py()
-        if table["kind"][0].as_py() == 0:
-            first, second, same = np.flatnonzero(~big), np.flatnonzero(big), False
-        else:
-            same = table["i"][0].as_py() == table["j"][0].as_py()
-            first = np.flatnonzero(block == table["i"][0].as_py())
-            second = first if same else np.flatnonzero(block == table["j"][0].as_py())
+        first, second, same = _sides(table)
         if len(first) > len(second):
             first, second = second, first
-        out = [np.zeros((2, 0), np.int64)]
+        hit = np.zeros(table.num_rows, dtype=bool)
         for x in first:
-            y = second[(comp[second] != comp[x]) & ((ids[second] > ids[x]) | (not same))]
+            y = second[(comp[second] != comp[x]) & ((second > x) | (not same))]
             # A pair is looked at in the first band that it shares.
             y = y[(words[y] == words[x]).argmax(axis=1) == band] if len(y) else y
             # Far below what the likelihood allows, by count alone.
@@ -218,14 +233,71 @@ def _other_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> D
             if len(y):
                 own = np.broadcast_to(registers[x].astype(np.int32), (len(y), registers.shape[1]))
                 y = y[plausible(np.full(len(y), n[x]), n[y], own, registers[y].astype(np.int32))]
-                out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
-        a, b = np.concatenate(out, axis=1)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                hit[y] = True
+                hit[x] |= len(y) > 0
+        return table.select(names).filter(pa.array(hit))
 
     # Blocks are small in bytes and long in work: keep them apart.
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(2 * width, "band", "value", "kind", "i", "j")
-    return rows.groupBy("band", "value", "kind", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return rows.repartition(2 * width, *TILE).groupBy(*TILE).applyInArrow(run, _ROW)
+
+
+def common_counts(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets of numbers, each of ``first`` with each
+    of ``second``: products of 0/1 matrices, some columns at a time. Numbers that
+    one set alone holds count for nothing."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    column = np.cumsum(np.diff(values, prepend=values[:1]) != 0)
+    shared = np.bincount(column)[column] > 1
+    column, owner = column[shared], owner[shared]
+    column = np.cumsum(np.diff(column, prepend=column[:1]) != 0)
+    total = np.zeros((len(first), len(second)), dtype=np.int64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, (low, low + COLUMNS)))
+        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        held[owner[part], column[part] - low] = 1
+        total += (held[first] @ held[second].T).astype(np.int64)
+    return total
+
+
+def _confirmed(suspects: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components, from full sets of the suspects of each tile. A
+    tile's texts meet once; of the links it finds, it gives as many as join
+    its components."""
+    def run(table: pa.Table) -> pa.Table:
+        hashes = PrefixHash()
+        ids, comp = (table[c].to_numpy() for c in ("id", "component"))
+        sets = [shingles(hashes.words(word_bytes(t.as_py())), SHINGLE) for t in table["text"]]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        first, second, _ = _sides(table)
+        common = common_counts(sets, first, second)
+        linked = 100 * common >= PERCENT * (size[first][:, None] + size[second][None] - common)
+        linked &= comp[first][:, None] != comp[second][None]
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        out = []
+        for x, hits in zip(first.tolist(), linked):
+            near = second[hits]
+            for c, k in zip(*np.unique(comp[near], return_index=True)):
+                a, b = root(int(comp[x])), root(int(c))
+                if a != b:
+                    parent[a] = b
+                    out.append(sorted((int(ids[x]), int(ids[near[k]]))))
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = suspects.join(texts, "id")
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(2 * width, *TILE).groupBy(*TILE).applyInArrow(run, "a long, b long").distinct()
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -271,8 +343,9 @@ def near_dedup(documents: DataFrame) -> DataFrame:
     Equal word sequences are one class from the start, named by its smallest id.
     Classes that share a band are candidates: first each with the smallest that
     it meets, then, in buckets that still hold several components, the pairs
-    between those. Candidates pass the joint likelihood of their sketches and
-    are confirmed on full sets. Links, components and sketches stay in Spark.
+    between those, tile by tile. Candidates pass the joint likelihood of their
+    sketches and are confirmed on full sets; a tile gives no pairs but links
+    that join components. Links, components and sketches stay in Spark.
 
     Null, empty and blank texts have no shingles and are linked with nothing, so
     each such row is its own component. A null id is the largest; its component
@@ -300,19 +373,19 @@ def near_classes(documents: DataFrame) -> DataFrame:
     many = every.groupBy("band", "value").agg(F.count("*").alias("size")).where("size > 1").drop("size")
     members = cut(every.join(many, ["band", "value"]), "members")
 
-    def text_of(pairs: DataFrame) -> DataFrame:
-        """Texts of the ends of the pairs; others are left out before they move."""
-        ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    def text_of(ids: DataFrame) -> DataFrame:
+        """Texts of ``ids``; others are left out before they move."""
         source = _keyed(documents).select(F.col("key").alias("id"), "text")
-        looked = in_filter(source, "id", filter_of(ends, "id", FILTER_BITS), FILTER_BITS, "maybe")
-        return looked.where("maybe").drop("maybe").join(ends, "id").groupBy("id").agg(F.min("text").alias("text"))
+        looked = in_filter(source, "id", filter_of(ids, "id", FILTER_BITS), FILTER_BITS, "maybe")
+        return looked.where("maybe").drop("maybe").join(ids, "id").groupBy("id").agg(F.min("text").alias("text"))
 
     tried = cut(_likely(_first_pairs(members), classes), "pairs")
-    links = cut(_verify(tried, text_of(tried)), "links")
+    ends = tried.select(F.col("a").alias("id")).unionByName(tried.select(F.col("b").alias("id"))).distinct()
+    links = cut(_verify(tried, text_of(ends)), "links")
     labels = components(links)
-    more = cut(_other_pairs(members, classes, labels).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = cut(links.unionByName(_verify(more, text_of(more))), "links")
+    suspects = cut(_suspects(members, classes, labels), "suspects")
+    if not suspects.isEmpty():
+        links = cut(links.unionByName(_confirmed(suspects, text_of(suspects.select("id").distinct()))), "links")
         labels = components(links)
     marked = labels.join(classes.select("id", "doc"), "id")
     heads = marked.groupBy("component").agg(F.min(_place("doc", "id")).alias("least"))

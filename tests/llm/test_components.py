@@ -60,7 +60,7 @@ def test_mixed_buckets_meet_once(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 4)
     sizes = {0: 30, 100: 1, 200: 9, 300: 2}
     label = {c + i: c for c, n in sizes.items() for i in range(n)}
-    members = spark.createDataFrame([(i, 3, 77) for i in label], "id long, band int, value long")
+    members = spark.createDataFrame([(i, 50, 3, 77) for i in label], "id long, n long, band int, value long")
     rows = near._tiles(members, spark.createDataFrame([(i, c) for i, c in label.items() if sizes[c] > 1], "id long, component long")).collect()
     tiles = {}
     for r in rows:
@@ -89,3 +89,13 @@ def test_near_misses_beside_copies(spark):
     known = brute(links)
     got = {r.doc_id: r.component_id for r in near.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
     assert got == {i: known.get(i, i) for i in range(160)}
+
+
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(near, "COLUMNS", 7)
+    draw = np.random.default_rng(8)
+    sets = [np.unique(draw.integers(0, 90, n).astype(np.uint64) << np.uint64(40)) for n in (0, 1, 30, 60, 60, 5)]
+    first, second = np.array([0, 2, 5]), np.array([1, 3, 4])
+    got = near.common_counts(sets, first, second)
+    assert got.tolist() == [[len(set(sets[a].tolist()) & set(sets[b].tolist())) for b in second] for a in first]
+    assert near.common_counts(sets[:1], np.array([0]), np.array([0])).tolist() == [[0]]
