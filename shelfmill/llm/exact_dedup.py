@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, filter_of, id_or_last, id_or_null, in_filter, read_documents
+from .common import SPACES, cut, filter_of, in_filter, read_documents
 
 
 def exact_dedup(documents: DataFrame, filter_bits: int = 1 << 26) -> DataFrame:
@@ -27,19 +27,21 @@ def exact_dedup(documents: DataFrame, filter_bits: int = 1 << 26) -> DataFrame:
     Other columns are ignored; an empty table gives an empty result.
     """
     text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACES, " ")
+    id_ = F.col("doc_id").cast("long")
+    # Among rows without id the text decides, so that rows equal in both stay together.
     rows = cut(
-        documents.select(id_or_last("doc_id").alias("id"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha")),
+        documents.select(id_.alias("id"), F.when(id_.isNull(), F.xxhash64("text")).alias("tie"), F.sha2(F.encode(text, "UTF-8"), 256).alias("sha")),
         "exact",
     )
     twice = filter_of(rows, "sha", filter_bits, least=2)
     looked = in_filter(rows, "sha", twice, filter_bits, "maybe")
     moving = looked.where("maybe").drop("maybe")
-    groups = moving.groupBy("sha").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    met = moving.join(groups, "sha").select("id", "sha", "first", "n")
-    alone = looked.where("not maybe").select("id", "sha", F.col("id").alias("first"), F.lit(1).cast("long").alias("n"))
+    groups = moving.groupBy("sha").agg(F.min("id").alias("first"), F.min("tie").alias("first_tie"), F.count("*").alias("n"))
+    stays = F.when(F.col("id").isNotNull(), F.col("id") == F.col("first")).otherwise(F.col("first").isNull() & (F.col("tie") == F.col("first_tie")))
+    met = moving.join(groups, "sha").select("id", "sha", "first", "n", stays.alias("kept"))
+    alone = looked.where("not maybe").select("id", "sha", F.col("id").alias("first"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("kept"))
     return met.unionByName(alone).select(
-        id_or_null("id").alias("doc_id"), id_or_null("first").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("id") == F.col("first")).alias("kept"), F.col("sha").alias("text_sha256"),
+        F.col("id").alias("doc_id"), F.col("first").alias("keep_id"), F.col("n").alias("group_size"), "kept", F.col("sha").alias("text_sha256"),
     )
 
 

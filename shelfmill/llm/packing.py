@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, id_or_last, id_or_null, read_documents
+from .common import cut, read_documents
 from .tokens import byte_bpe
 
 LENGTH, END_ID, SALTS = 2048, 0, 64
@@ -39,7 +39,7 @@ def pieces(documents: DataFrame, tokenizer: str | None = None, length: int = LEN
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return documents.select(id_or_last("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES)
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _PIECES)
 
 
 def plan(histogram: dict[int, int], length: int = LENGTH) -> dict[int, list[tuple[int, int, int, int]]]:
@@ -104,7 +104,7 @@ def place(table: DataFrame, length: int = LENGTH, salts: int = SALTS) -> DataFra
     hash, so a length that a third of all rows share is spread over tasks; the
     driver gets ``length * salts`` counts at most."""
     order = [c for c in table.columns if c != "length"]
-    salted = table.withColumn("__salt", F.pmod(F.xxhash64(*order[:2]), F.lit(salts)).cast("int"))
+    salted = table.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
     counts = salted.groupBy("length", "__salt").agg(F.count("*").alias("n")).collect()
     histogram: dict[int, int] = {}
     before: dict[tuple[int, int], int] = {}
@@ -148,7 +148,7 @@ def best_fit_packing(
     Other columns are ignored; an empty table gives an empty result.
     """
     table = cut(pieces(documents, tokenizer, length, end_id), "pieces")
-    return place(table, length, salts).withColumn("doc_id", id_or_null("doc_id"))
+    return place(table, length, salts)
 
 
 def op5_best_fit_packing(spark, sf_dir: str) -> DataFrame:
