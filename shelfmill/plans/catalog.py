@@ -24,6 +24,7 @@ from ..functions.urls import (
 )
 from ..operators.cards import labels_text, listing_plan, page_links
 from ..operators.detail import detail_name
+from ..operators.nodes import marked
 from ..operators.page import Page, matches
 from ..operators.tables import (
     best_pair, first_label, first_per_key, found_and_skipped, frontier, limit_per_key,
@@ -180,6 +181,19 @@ def nav_links(spark, sf):
     return shred(_pages(spark, sf)).select("page_id", found.alias("f")).select("page_id", "f.*")
 
 
+@query
+def nav_link_nodes(spark, sf):
+    """The same selections on the table of nodes."""
+    pages = _pages(spark, sf)
+    flat = marked(nodes(shred(pages)), LINK.under(tag("nav")), "link")
+    flat = marked(flat, tag("li").under(tag("article")), "item")
+    counts = flat.groupBy("page_id").agg(F.count_if("link").alias("link"), F.count_if("item").alias("item"))
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("int")
+    return pages.select("page_id").join(counts, "page_id", "left").select(
+        "page_id", count("link").alias("nav_links"), count("item").alias("article_items")
+    )
+
+
 @query
 def ranked_matches(spark, sf):
     """D7, E1s: each node once, at its first selector."""

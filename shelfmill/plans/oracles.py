@@ -185,6 +185,10 @@ def all_oracles() -> dict[str, str]:
             SELECT page_id, len(regexp_extract_all(html, '<a href='))::INT AS nav_links,
                    len(regexp_extract_all(regexp_extract(html, '(?s)<article>.*</article>'), '<li'))::INT AS article_items
             FROM pages""",
+        "nav_link_nodes": """
+            SELECT page_id, len(regexp_extract_all(html, '<a href='))::INT AS nav_links,
+                   len(regexp_extract_all(regexp_extract(html, '(?s)<article>.*</article>'), '<li'))::INT AS article_items
+            FROM pages""",
         "ranked_matches": """
             SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY sel_rank, k) - 1)::INT AS pos,
                    sel_rank, tag
