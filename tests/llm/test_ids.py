@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 from shelfmill.llm.exact_dedup import exact_dedup
+from shelfmill.llm.line_dedup import line_dedup
 from shelfmill.llm.packing import best_fit_packing
 
 ROWS = [
@@ -37,3 +38,41 @@ def test_packing(spark):
     for sequence in {r.sequence_id for r in got}:
         own = sorted(at for s, at in places if s == sequence)
         assert own == list(range(len(own)))
+
+
+def _expected_lines(rows):
+    """Brute force of line dedup on ``(doc_id, text)`` rows with ids as owners; rows without one are told apart by text."""
+    owner = lambda d, t: (d is None, d if d is not None else 0, t if d is None else "")
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\f\r"))
+    owners = {}
+    for d, t in rows:
+        for line in (t or "").split("\n"):
+            owners.setdefault(key(line), set()).add(owner(d, t))
+    out = Counter()
+    for d, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < 10 or min(owners[key(x)]) == owner(d, t)]
+        out[d, len(lines), len(lines) - len(kept), "\n".join(kept)] += 1
+    return out
+
+
+def test_line_dedup(spark):
+    """Ids of all sizes, repeated ids and rows, a line that is in all, keys with letters beyond ASCII."""
+    rows = [
+        (2**62 + 5, "Shared by many rows\nown line of the large"), (2**63 - 1, "shared by many rows \nOWN LINE OF THE LARGE"),
+        (-(2**63), "alone in here, it is\nÄrger mit Öl und ÜBEL"), (7, "ärger mit öl und übel\nÄRGER mit Öl und übel\nÄrger mit Öl und Übel"),
+        (2**62, "twice the same line\nshort"), (2**62, "twice the same line\nshort"), (2**62, "twice the same line\nother text"),
+        (None, "single without an id"), (None, None), (0, ""), (3, "single without an id\n\n"),
+        *[(i, f"Shared by many rows\nline of {i} or {i + 1}\nline of {i + 1} or {i + 2}") for i in range(100, 900)],
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in line_dedup(frame).collect())
+    assert got == _expected_lines(rows)
+
+
+def test_lines_of_rows_without_id(spark):
+    """One row keeps a line that several rows without id hold."""
+    rows = [(None, f"the very same line\n{i} and a line of its own") for i in range(40)]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(r.n_dropped for r in got) == [0] + [1] * 39
+    assert all(r.text.endswith("of its own") for r in got)
