@@ -34,6 +34,7 @@ from ..operators.tree import nodes, shred
 from ..rules import LINK, SiteProfile, css_class, equals, has, part, tag
 from ..session import configure, cut, shared_folder
 from ..sources import rendered
+from ..sources.page_store import PageStore
 from ..sources.pages import balanced, read_pages, stream_pages
 from ..sources.tables import CAMPAIGN_COLUMNS, PRODUCT_COLUMNS, conform, run_timestamp, stored_rows, visited_keys
 from ..streaming.extract import stream_links
@@ -713,6 +714,18 @@ def _early(pages: DataFrame) -> DataFrame:
     return pages.filter(~(late | later))
 
 
+@query
+def pages_by_url(spark, sf):
+    """Names on the pages that ordered parts point at, from a store laid out by URL and filled in two batches."""
+    store, pages = PageStore(spark, f"{shared_folder(spark)}/store-{uuid.uuid4().hex}", 8), _product_pages(spark, sf)
+    for odd in (0, 1):
+        store.add(pages.filter(F.col("page_id") % 2 == odd))
+    ordered = _table(spark, sf, "lineitem").filter("l_quantity >= 45").select(
+        F.concat(F.lit(f"{rendered.SITE}/p/"), F.col("l_partkey").cast("string")).alias("url")
+    )
+    return shred(store.choose(ordered.distinct())).select("page_id", "url", detail_name().alias("name"))
+
+
 @query
 def crawl_pending(spark, sf):
     """Products that a run left open because their page was not there."""

@@ -344,7 +344,7 @@ def crawl(
 def extract_chosen(
     pages: DataFrame, home: Column | list[str], profile: SiteProfile = DEFAULT_PROFILE,
     visited: DataFrame | None = None, allow_duplicates: bool = False, pending: Pending | None = None,
-    homes: DataFrame | None = None,
+    homes: DataFrame | None = None, choose: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The extracts that a run needs, in four stages: home pages, pages of new
     campaigns, listings in their plans, chosen products. Each stage parses only
@@ -354,7 +354,9 @@ def extract_chosen(
     The keys of a stage are one narrow column, written first so that its size is
     known: few of them are broadcast to the scan; of many, Spark's own Bloom
     filter thins the pages before the join. A stage without keys reads nothing.
+    ``choose`` gives the pages of a table of keys; that of a ``PageStore`` moves no HTML.
     """
+    chosen = choose or (lambda keys: pages.join(keys, "url", "left_semi"))
     if homes is None:
         homes = cut(extract(pages, home, profile, PARTS[:1]), "homes")
 
@@ -362,7 +364,7 @@ def extract_chosen(
         keys = cut(keys.toDF("url").distinct(), "keys")
         if keys.isEmpty():
             return homes.limit(0)
-        return cut(extract(pages.join(keys, "url", "left_semi"), home, profile, part), part[0])
+        return cut(extract(chosen(keys), home, profile, part), part[0])
 
     new = campaign_frontier(split(homes).homes, visited, profile, allow_duplicates)
     new = cut(new, "frontier")
@@ -468,10 +470,11 @@ def run(
     pages: DataFrame, home: Column | list[str], campaigns_path: str, products_path: str, run_ts: str,
     profile: SiteProfile = DEFAULT_PROFILE, fmt: str = "csv", allow_duplicates: bool = False,
     rejects_path: str | None = None, pending_path: str | None = None,
+    choose: Callable[[DataFrame], DataFrame] | None = None,
 ) -> dict[str, int]:
     """Read pages, write both tables, the rejects and what is left open; returns counters.
 
-    Only pages that the run needs are parsed (``extract_chosen``), and once.
+    Only pages that the run needs are parsed (``extract_chosen``, which ``choose`` is for), and once.
     Everything is written as one commit (``sources.commits``): a run that stops
     before its end leaves all tables as they were, and a repeated one adds nothing
     twice. ``stored_rows`` reads the tables. Listings and products without a
@@ -500,7 +503,7 @@ def run(
         commit.publish()
         raise ValueError(NO_CAMPAIGN)
     visited = cut(_stored_keys(store, base, "campaigns", "campaign_keys", cards).observe(skipped, rows), "visited")
-    extracts = extract_chosen(pages, home, profile, None if allow_duplicates else visited, allow_duplicates, pending, homes)
+    extracts = extract_chosen(pages, home, profile, None if allow_duplicates else visited, allow_duplicates, pending, homes, choose)
     written = store_run(store, pages, extracts, run_ts, profile, None if allow_duplicates else visited, allow_duplicates, pending)
     n_found, n_stored = found.get["rows"], 0 if allow_duplicates else skipped.get["rows"]
     return {

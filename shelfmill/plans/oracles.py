@@ -373,6 +373,9 @@ def all_oracles() -> dict[str, str]:
               {{'run': 2, 'counter': 'corrected', 'value': later - never}}, {{'run': 2, 'counter': 'open_listings', 'value': 2 * never}}
             ]) AS t(u), LATERAL (SELECT u.run AS run, u.counter AS counter, u.value AS value)""",
         "crawl_visited": f"SELECT '{_SHOP}/catalog/' || s_suppkey AS campaign_url FROM supplier",
+        "pages_by_url": f"""
+            SELECT p_partkey AS page_id, product_url AS url, product_name AS name FROM ({_DETAIL})
+            WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 45)""",
         "crawl_products": _PRODUCTS,
         "crawl_resume": _PRODUCTS,
         "crawl_pending": f"""
