@@ -19,7 +19,7 @@ from ..functions.sizes import (
 )
 from ..functions.text import clean_text
 from ..rules import DEFAULT_PROFILE, SiteProfile, has, tag
-from .page import Page, matches_any, outermost, present, rank, within
+from .page import Page, outermost, present, within
 
 _PAIRS = (
     "array<struct<ord:struct<src:int,scope:int,sel:int,pre:int>,"
@@ -156,7 +156,7 @@ def scope_price_pairs(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
         return let(
             F.when(scope > 0, prices),
             lambda v: _pair(
-                1, scope, rank(n, profile.price_nodes, {}), n["pre"], v,
+                1, scope, page.rank(n, profile.price_nodes), n["pre"], v,
                 F.when(is_meta, "meta").otherwise("local_node"),
             ),
         )
@@ -169,7 +169,7 @@ def scope_price_pairs(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
         )
 
     def collect(scopes: Column) -> Column:
-        marked = F.filter(page.nodes, lambda n: rank(n, profile.price_nodes, {}).isNotNull())
+        marked = F.filter(page.nodes, lambda n: page.is_any(n, profile.price_nodes))
         texts = F.transform(scopes, lambda s: F.struct(s["t0"], s["t1"]))
         by_text = let(
             texts,
@@ -359,13 +359,13 @@ def _size_areas(page: Page) -> Column:
     p = page.profile
 
     def near(n: Column) -> Column:
-        menu = matches_any(n, p.size_areas)
+        menu = page.is_any(n, p.size_areas)
         up = page.parent(n)
         return F.array_compact(F.array(F.when(menu, n), up, page.parent(up)))
 
     seeds = F.filter(
         page.nodes,
-        lambda n: matches_any(n, p.size_areas)
+        lambda n: page.is_any(n, p.size_areas)
         | (
             n["tag"].isin(*p.size_word_tags)
             & n["chars"].between(1, max(map(len, p.size_words)))
@@ -414,7 +414,7 @@ def menu_sizes(profile: SiteProfile = DEFAULT_PROFILE) -> Column:
         return let(combined, lambda c: let(size_tokens(c, p), lambda t: states(c, t)))
 
     def inside(areas: Column, sels: tuple) -> Column:
-        return F.filter(page.nodes, lambda n: matches_any(n, sels) & within(n, areas))
+        return F.filter(page.nodes, lambda n: page.is_any(n, sels) & within(n, areas))
 
     def items(areas: Column) -> Column:
         return let(

@@ -13,29 +13,40 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_col, blank_to_null, first, let
 from ..functions.text import clean_text
-from ..rules import DEFAULT_PROFILE, LINK, Sel, SiteProfile
+from ..rules import DEFAULT_PROFILE, LINK, Marks, Sel, SiteProfile
 from .tree import OWN_TEXT_TAGS
 
 Spans = dict[Sel, Column]
 
 
-def matches(n: Column, sel: Sel, spans: Spans | None = None) -> Column:
+def marked_any(n: Column, sels: Sequence[Sel], marks: Marks | None) -> Column | None:
+    """Does a node carry the mark of one of the selectors? What they ask of
+    ancestors is left out. None if a selector has no mark."""
+    mask = marks.mask(sels) if marks else None
+    return None if mask is None else n[marks.field].bitwiseAND(F.lit(mask).cast("long")) != 0
+
+
+def matches(n: Column, sel: Sel, spans: Spans | None = None, marks: Marks | None = None) -> Column:
     """Does a node pass the selector (D4, and D5 through ``spans``)? The tests
     are never null for a node, so that a failed one ends the evaluation."""
     tests = []
-    if sel.tag:
-        tests.append(n["tag"] == sel.tag)
-    if sel.attr:
-        value = n["attrs"][sel.attr]
-        no = F.lit(False)
-        tests.append(
-            {
-                "has": lambda: F.map_contains_key(n["attrs"], sel.attr),
-                "is": lambda: value.eqNullSafe(F.lit(sel.value)),
-                "part": lambda: F.coalesce(value.contains(sel.value), no),
-                "word": lambda: F.coalesce(F.array_contains(F.split(value, " "), sel.value), no),
-            }[sel.how]()
-        )
+    own = marked_any(n, [sel], marks)
+    if own is not None:
+        tests.append(own)
+    else:
+        if sel.tag:
+            tests.append(n["tag"] == sel.tag)
+        if sel.attr:
+            value = n["attrs"][sel.attr]
+            no = F.lit(False)
+            tests.append(
+                {
+                    "has": lambda: F.map_contains_key(n["attrs"], sel.attr),
+                    "is": lambda: value.eqNullSafe(F.lit(sel.value)),
+                    "part": lambda: F.coalesce(value.contains(sel.value), no),
+                    "word": lambda: F.coalesce(F.array_contains(F.split(value, " "), sel.value), no),
+                }[sel.how]()
+            )
     if sel.inside:
         tests.append(within(n, spans[sel.inside]))
     result = tests[0]
@@ -67,21 +78,26 @@ def outermost(found: Column) -> Column:
     return merged["kept"]
 
 
-def rank(n: Column, sels: Sequence[Sel], spans: Spans) -> Column:
+def rank(n: Column, sels: Sequence[Sel], spans: Spans, marks: Marks | None = None) -> Column:
     """Index of the first selector that the node passes; null if none."""
-    cases = F.when(matches(n, sels[0], spans), 0)
+    cases = F.when(matches(n, sels[0], spans, marks), 0)
     for i, sel in enumerate(sels[1:], 1):
-        cases = cases.when(matches(n, sel, spans), i)
+        cases = cases.when(matches(n, sel, spans, marks), i)
+    some = marked_any(n, sels, marks)
+    if some is not None:
+        return F.when(some, cases)
     if all(sel.attr for sel in sels):  # text and bare elements need no look
         return F.when(F.size(n["attrs"]) > 0, cases)
     return cases
 
 
-def matches_any(n: Column, sels: Sequence[Sel]) -> Column:
-    """Does a node pass one of the selectors?"""
-    result = matches(n, sels[0])
-    for sel in sels[1:]:
-        result = result | matches(n, sel)
+def matches_any(n: Column, sels: Sequence[Sel], marks: Marks | None = None) -> Column:
+    """Does a node pass one of the selectors, which ask nothing of ancestors?"""
+    result = marked_any(n, sels, marks)
+    if result is None:
+        result = matches(n, sels[0])
+        for sel in sels[1:]:
+            result = result | matches(n, sel)
     return result
 
 
@@ -90,6 +106,7 @@ class Page:
 
     def __init__(self, profile: SiteProfile = DEFAULT_PROFILE) -> None:
         self.profile = profile
+        self.marks = profile.marks
         self.nodes = F.col("nodes")
         self.texts = F.col("texts")
         self.objects = F.col("objects")
@@ -133,14 +150,28 @@ class Page:
         def bind(left: list[Sel], spans: Spans) -> Column:
             if not left:
                 return body(spans)
-            found = outermost(F.filter(self.nodes, lambda n: matches(n, left[0])))
+            found = outermost(F.filter(self.nodes, lambda n: matches(n, left[0], None, self.marks)))
             return let(found, lambda s: bind(left[1:], spans | {left[0]: s}))
 
         return bind(wanted, {})
 
     def select(self, scope: Column, sel: Sel, spans: Spans | None = None) -> Column:
         """All matches in an array of nodes."""
-        return F.filter(scope, lambda n: matches(n, sel, spans))
+        return F.filter(scope, lambda n: matches(n, sel, spans, self.marks))
+
+    def rank(self, n: Column, sels: Sequence[Sel], spans: Spans | None = None) -> Column:
+        """Index of the first selector that the node passes; null if none."""
+        return rank(n, sels, spans or {}, self.marks)
+
+    def is_any(self, n: Column, sels: Sequence[Sel]) -> Column:
+        """Does a node pass one of the selectors, by one look at its marks where they have some?"""
+        return matches_any(n, sels, self.marks)
+
+    def _passes(self, n: Column, sels: Sequence[Sel], spans: Spans | None) -> Column:
+        if any(sel.inside for sel in sels):
+            return self.rank(n, sels, spans).isNotNull()
+        marked = marked_any(n, sels, self.marks)
+        return self.rank(n, sels, spans).isNotNull() if marked is None else marked
 
     def find(self, scope: Column, sel: Sel, spans: Spans | None = None) -> Column:
         """First match in an array of nodes."""
@@ -148,11 +179,11 @@ class Page:
 
     def passing(self, scope: Column, sels: Sequence[Sel], spans: Spans | None = None) -> Column:
         """The few nodes that pass some selector, in one look at all of them."""
-        return F.filter(scope, lambda n: rank(n, sels, spans).isNotNull())
+        return F.filter(scope, lambda n: self._passes(n, sels, spans))
 
     def find_any(self, scope: Column, sels: Sequence[Sel]) -> Column:
         """First node that passes any of the selectors."""
-        return first(F.filter(scope, lambda n: matches_any(n, sels)))
+        return first(F.filter(scope, lambda n: self.is_any(n, sels)))
 
     def all_matches(self, sels: Sequence[Sel]) -> Column:
         """Union of matches, each node once, by (selector, document) order
@@ -161,7 +192,7 @@ class Page:
             F.transform(
                 self.passing(self.nodes, sels, spans),
                 lambda n: F.struct(
-                    rank(n, sels, spans).alias("rank"), n["pre"].alias("pre"),
+                    self.rank(n, sels, spans).alias("rank"), n["pre"].alias("pre"),
                     n["last"].alias("last"), n["tag"].alias("tag"), n["links"].alias("links"),
                 ),
             )

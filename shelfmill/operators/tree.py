@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.jsonwalk import MEMBER, script_objects
-from ..rules import DEFAULT_PROFILE, SiteProfile
+from ..rules import DEFAULT_PROFILE, Marks, SiteProfile
 
 # ---- fixed values: elements without content, elements whose text is not shown ----
 VOID_TAGS = frozenset((
@@ -32,18 +32,17 @@ OWN_TEXT_TAGS = ("rp", "rt", "script", "style", "template")
 NODE_FIELDS = (
     "pre", "last", "parent", "depth", "sib", "tag", "attrs", "text", "t0", "t1", "chars", "links",
 )
-NODE_TYPE = (
-    "struct<pre:int,last:int,parent:int,depth:int,sib:int,tag:string,"
-    "attrs:map<string,string>,text:string,t0:int,t1:int,chars:int,links:int>"
-)
 OBJECT_TYPE = f"struct<script:int,part:int,ord:int,members:array<{MEMBER}>>"
-TREE_TYPES = {
-    "nodes": f"array<{NODE_TYPE}>",
-    "texts": "array<string>",
-    "objects": f"array<{OBJECT_TYPE}>",
-    "error": "string",
-}
-TREE_COLUMNS = tuple(TREE_TYPES)
+TREE_COLUMNS = ("nodes", "texts", "objects", "error")
+
+
+def tree_types(marks: Marks) -> dict[str, str]:
+    node = (
+        "struct<pre:int,last:int,parent:int,depth:int,sib:int,tag:string,"
+        f"attrs:map<string,string>,text:string,t0:int,t1:int,chars:int,links:int,{marks.field}:bigint>"
+    )
+    return dict(zip(TREE_COLUMNS, (f"array<{node}>", "array<string>", f"array<{OBJECT_TYPE}>", "string")))
+
 
 _INTS = ("last", "parent", "depth", "sib", "t0", "t1", "chars", "links")
 _BATCH_NODES = 50_000  # output batches stay small whatever the page sizes
@@ -55,9 +54,19 @@ class _Shredder(HTMLParser):
     Positions (``parent``, ``last``, ``t0`` …) count from the page's start.
     """
 
-    def __init__(self, keys: frozenset[str], nested: frozenset[str] = frozenset()) -> None:
+    def __init__(
+        self, keys: frozenset[str], nested: frozenset[str] = frozenset(), marks: Marks = DEFAULT_PROFILE.marks
+    ) -> None:
         super().__init__(convert_charrefs=True)
-        self.keys, self.nested = keys, nested
+        self.keys, self.nested, self.mark_field = keys, nested, marks.field
+        # The element tests by what they look at first: the tag alone, or an attribute.
+        self.tag_marks: dict[str, int] = {}
+        self.attr_marks: dict[str, list] = {}
+        for i, sel in enumerate(marks.sels):
+            if sel.attr:
+                self.attr_marks.setdefault(sel.attr, []).append((1 << i, sel))
+            else:
+                self.tag_marks[sel.tag] = self.tag_marks.get(sel.tag, 0) | 1 << i
         self.clear()
 
     def clear(self) -> None:
@@ -66,6 +75,8 @@ class _Shredder(HTMLParser):
         self.tags: list[str] = []
         self.attrs: list[dict] = []
         self.text: list[str | None] = []
+        self.marks: list[int] = []
+        self.known_marks: dict[tuple, int] = {}
         self.texts: list[list[str]] = []
         self.objects: list[list[dict]] = []
         self.errors: list[str | None] = []
@@ -85,7 +96,7 @@ class _Shredder(HTMLParser):
                 self._close()
         except Exception as exc:  # goes to the reject table, not the run's end
             error = f"{type(exc).__name__}: {exc}"
-            for column in (self.pre, self.tags, self.attrs, self.text, *self.ints.values()):
+            for column in (self.pre, self.tags, self.attrs, self.text, self.marks, *self.ints.values()):
                 del column[start:]
             self._begin()
             self._close()
@@ -112,6 +123,27 @@ class _Shredder(HTMLParser):
         self._add("#root", {}, None)
         self._enter("#root")
 
+    def _marks(self, tag: str, attrs: dict) -> int:
+        """The bits of the element tests that an element passes."""
+        bits = self.tag_marks.get(tag, 0)
+        for name in attrs:
+            if name in self.attr_marks:
+                seen = (tag, name, attrs[name])
+                if seen not in self.known_marks:  # values repeat; forgotten with each batch
+                    self.known_marks[seen] = self._attr_marks(*seen)
+                bits |= self.known_marks[seen]
+        return bits
+
+    def _attr_marks(self, tag: str, name: str, value: str | None) -> int:
+        bits = 0
+        for bit, sel in self.attr_marks[name]:
+            if not sel.tag or sel.tag == tag:
+                if sel.how == "has" or value is not None and (
+                    sel.value == value if sel.how == "is" else sel.value in (value if sel.how == "part" else value.split(" "))
+                ):
+                    bits |= bit
+        return bits
+
     def _add(self, tag: str, attrs: dict, text: str | None) -> int:
         at, ints = len(self.tags), self.ints
         pre, seen = at - self.start, len(self.pieces)
@@ -122,6 +154,7 @@ class _Shredder(HTMLParser):
         self.pre.append(pre)
         self.tags.append(tag)
         self.attrs.append(attrs)
+        self.marks.append(self._marks(tag, attrs))
         self.text.append(text)
         ints["last"].append(pre)
         ints["parent"].append(self.open[-1] - self.start if self.open else -1)
@@ -244,9 +277,10 @@ class _Shredder(HTMLParser):
         fields["tag"] = pa.array(self.tags, pa.string())
         fields["text"] = pa.array(self.text, pa.string())
         fields["attrs"] = attrs
+        fields[self.mark_field] = pa.array(self.marks, pa.int64())
+        names = (*NODE_FIELDS, self.mark_field)
         nodes = pa.ListArray.from_arrays(
-            _offsets(self.sizes),
-            pa.StructArray.from_arrays([fields[n] for n in NODE_FIELDS], names=NODE_FIELDS),
+            _offsets(self.sizes), pa.StructArray.from_arrays([fields[n] for n in names], names=names),
         )
         texts = pa.array(self.texts, pa.list_(pa.string()))
         errors = pa.array(self.errors, pa.string())
@@ -269,12 +303,13 @@ def shred(
     """All columns but ``html``, plus ``nodes``, ``texts``, ``objects`` (JSON
     objects of scripts, wanted keys only) and ``error``. The one Python stage."""
     keep = [c for c in pages.columns if c != html]
-    added = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in TREE_TYPES.items()))
+    marks = profile.marks
+    added = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in tree_types(marks).items()))
     schema = T.StructType([pages.schema[c] for c in keep] + added.fields)
     keys, nested = frozenset(profile.json_keys), frozenset(profile.color_keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Shredder(keys, nested)
+        reader = _Shredder(keys, nested, marks)
         for batch in batches:
             source, start = batch.column(len(keep)), 0
             for i in range(batch.num_rows):

@@ -7,7 +7,9 @@ profile and no operator changes. The defaults describe a flash-sale shop;
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
+from zlib import crc32
 
 
 @dataclass(frozen=True)
@@ -192,6 +194,29 @@ IMAGES = (
 # ---- end of fixed values ----
 
 
+MARK_BITS = 62  # of a long
+
+
+@dataclass(frozen=True)
+class Marks:
+    """Element tests that have a bit each in a number kept with every node. Tests beyond
+    ``MARK_BITS`` have none and are evaluated where they are asked for."""
+
+    sels: tuple[Sel, ...]
+
+    @property
+    def field(self) -> str:
+        """Name of the number. It follows from the tests, so that a tree marked for
+        other ones is refused by its columns and never misread."""
+        return f"marks_{crc32(repr(self.sels).encode()):08x}"
+
+    def mask(self, sels: Sequence[Sel]) -> int | None:
+        """The bits of some tests, without what they ask of ancestors; null if one has no bit."""
+        places = {s: i for i, s in enumerate(self.sels)}
+        plain = [replace(s, inside=None) for s in sels]
+        return sum({1 << places[s] for s in plain}) if all(s in places for s in plain) else None
+
+
 @dataclass(frozen=True)
 class SiteProfile:
     """All site rules. ``strict_fix`` turns on the documented corrections."""
@@ -268,5 +293,16 @@ class SiteProfile:
             return self.images
         return self.images + (part("src", self.image_host, "img"),)
 
+    @property
+    def marks(self) -> "Marks":
+        """The element tests of product pages, marked while a page is read."""
+        sels = (
+            self.detail_name + self.description + self.price_scopes + self.price_nodes + self.size_areas
+            + self.size_items + self.size_containers + self.image_selectors
+        )
+        outer = tuple(s.inside for s in sels if s.inside)
+        plain = dict.fromkeys(replace(s, inside=None) for s in sels + outer)
+        return Marks(tuple(s for s in plain if s.tag or s.attr)[:MARK_BITS])
+
 
 DEFAULT_PROFILE = SiteProfile()
