@@ -325,6 +325,14 @@ def shred(
     return pages.select(*keep, html).mapInArrow(run, schema)
 
 
+def read_trees(pages: pa.Array, profile: SiteProfile = DEFAULT_PROFILE) -> pa.Array:
+    """The trees of a batch of pages, as structs of the tree columns."""
+    reader = _Shredder(frozenset(profile.json_keys), frozenset(profile.color_keys), profile.marks)
+    for page in pages:
+        reader.read(page.as_py())
+    return pa.StructArray.from_arrays(reader.arrays(), names=list(TREE_COLUMNS))
+
+
 def nodes(tree: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per node: the tree as a table."""
     flat = tree.select(key, "texts", F.explode("nodes").alias("n"))

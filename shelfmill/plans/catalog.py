@@ -42,6 +42,7 @@ from .crawl import (
     PARTS, crawl_tables, extract, extract_campaigns, extract_chosen, extract_details, extract_links,
     extract_products, extract_subpages, product_details, run,
 )
+from .sql_pages import register_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,9 +227,8 @@ def links(spark, sf):
     return found.select("page_id", "pos", "url", "label")
 
 
-@query
-def resolved_urls(spark, sf):
-    """U1 on each form of link."""
+def _link_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Each form of link, made from the URL of each page."""
     path = F.regexp_extract("url", r"^https?://[^/]+(/[^#]*)", 1)
     forms = F.array(
         F.col("url"), path, F.concat(F.lit("//cdn.example.com"), path), F.regexp_replace(path, "^/", ""),
@@ -236,10 +236,13 @@ def resolved_urls(spark, sf):
         F.concat(F.lit("/a/b/../"), F.regexp_replace(path, "^/", "")), F.lit("mailto:x@example.com"),
         F.concat(F.lit("./x/./"), F.regexp_replace(path, "^/", "")),
     )
-    rows = read_pages(spark, f"{sf}/pages.parquet").select(
-        "page_id", F.posexplode(forms).alias("form", "href")
-    )
-    return rows.select("page_id", "form", resolve_url("href", TEST_SITE.base_url).alias("url"))
+    return read_pages(spark, f"{sf}/pages.parquet").select("page_id", F.posexplode(forms).alias("form", "href"))
+
+
+@query
+def resolved_urls(spark, sf):
+    """U1 on each form of link."""
+    return _link_forms(spark, sf).select("page_id", "form", resolve_url("href", TEST_SITE.base_url).alias("url"))
 
 
 @query
@@ -306,6 +309,65 @@ def sql_texts(spark, sf):
     )
 
 
+@query
+def sql_resolved(spark, sf):
+    """U1 called from SQL."""
+    register(spark, TEST_SITE)
+    return spark.sql(
+        "SELECT page_id, form, resolve_url(href) AS url FROM {forms}", forms=_link_forms(spark, sf)
+    )
+
+
+@query
+def sql_links(spark, sf):
+    """Pages read and their links taken from SQL."""
+    register_pages(spark, TEST_SITE)
+    return spark.sql(
+        """SELECT page_id, k.pos, k.url, k.label
+           FROM (SELECT page_id, explode(found) AS k
+                 FROM (SELECT page_id, links_of(page_tree(html)) AS found FROM {pages}))""",
+        pages=_pages(spark, sf),
+    )
+
+
+@query
+def sql_prices(spark, sf):
+    """T8, T9, T10 called from SQL."""
+    register(spark, TEST_SITE)
+    return spark.sql(
+        """SELECT doc_id, size(p) AS n_prices, pair.original, pair.current,
+                  array_join(transform(p, x -> format_string('%.2f', x)), ' ') AS prices
+           FROM (SELECT doc_id, p, price_pair(p) AS pair
+                 FROM (SELECT doc_id, price_candidates(text) AS p FROM {docs}))""",
+        docs=balanced(_table(spark, sf, "documents").select("doc_id", "text")),
+    )
+
+
+@query
+def sql_sizes(spark, sf):
+    """T12 called from SQL."""
+    register(spark, TEST_SITE)
+    return spark.sql(
+        """SELECT p_partkey, array_join(size_tokens(concat(
+                      p_name, ' talla ', p_size, CASE WHEN p_partkey % 3 = 0 THEN ' XL o m' ELSE ' y 40 (EU)' END
+                  )), ' ') AS sizes FROM {part}""",
+        part=_table(spark, sf, "part"),
+    )
+
+
+@query
+def sql_colors(spark, sf):
+    """T14, T15 called from SQL."""
+    register(spark, TEST_SITE)
+    return spark.sql(
+        """SELECT p_partkey, color_from_name(concat(
+                      replace(p_name, ' ', ' - '), CASE WHEN p_partkey % 5 = 0 THEN ' - talla' ELSE '' END
+                  )) AS color, is_bad_color(p_brand) AS bad_brand,
+                  is_bad_color(cast(p_size AS string)) AS bad_size FROM {part}""",
+        part=_table(spark, sf, "part"),
+    )
+
+
 @query
 def clean_documents(spark, sf):
     """T1"""
