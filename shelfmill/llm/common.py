@@ -80,12 +80,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class PrefixHash:
     """Hash of any stretch of a byte string from two prefix sums. Made in a
-    task, used for all its documents; the power tables grow with the longest."""
+    task, used for all its documents; the power tables grow with the longest.
+    Of two ``seed`` values, the hashes are independent."""
 
     BASE = 0x9E3779B97F4A7C15
 
-    def __init__(self):
-        self.of_byte = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)) | np.uint64(1)
+    def __init__(self, seed: int = 0):
+        spread = np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407)
+        self.of_byte = mix(spread ^ np.uint64(seed)) | np.uint64(1)
         self._grow(1 << 15)
 
     def _grow(self, n: int) -> None:

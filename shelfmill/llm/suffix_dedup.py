@@ -6,16 +6,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PrefixHash, cut, filter_of, id_or_last, id_or_null, in_filter, mix, read_documents
+from .common import PrefixHash, cut, filter_of, in_filter, mix, read_documents
 
 LEAST = 100  # bytes of a repeated string
 TOKEN = 32  # bytes of a leading token
 SPAN = LEAST - TOKEN  # an anchor lies at most so many bytes after a string's start
 SAMPLED, PART_BYTES, PART_EDGES, FILTER_BITS = 100_000, 64 << 20, 100_000, 1 << 26
 MIX = np.uint64(0x9FB21C651E98DF25)
+SECOND = 0x2545F4914F6CDD1D  # seed of the second hash of a string
+# A document: rows without id (last = 1) come after all others; rows of one id differ by a hash of the text.
+DOC = ("last", "id", "tie")
 
 
 # -- anchors: the suffixes that are sorted -----------------------------------------------------
@@ -76,26 +80,35 @@ def _first_of(run: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, run[1:] != run[:-1]])[run]
 
 
+def _same(doc: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether each row has the document and place of its run's first row."""
+    return (doc == doc[first]).all(axis=1) & (place == place[first])
+
+
 class Splitters:
-    """Borders of parts over ``(leading token, id)``. A token that is very
+    """Borders of parts over ``(leading token, document)``. A token that is very
     frequent has several borders, so it is spread over parts; such tokens are
-    known to all tasks, and what they leave is compared across parts after."""
+    known to all tasks, and what they leave is compared across parts after.
+    The borders come from a bounded sample; where it has fewer than ``parts``
+    asks for, each part is dealt on by token, equal ones together."""
 
     def __init__(self, token: np.ndarray, doc: np.ndarray, parts: int):
-        order = np.lexsort((doc, token))
+        doc = doc.reshape(len(token), 1) if doc.ndim == 1 else doc
+        order = np.lexsort((*doc.T[::-1], token))
         cuts = order[np.unique(np.linspace(0, len(order), parts + 1)[1:-1].astype(int))] if len(order) else order
         self.token, self.doc = token[cuts], doc[cuts]
         self.crossing = np.unique(self.token)
+        self.inner = -(-parts // (len(cuts) + 1))
 
     def part(self, token: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Number of borders at or before each key: borders and keys are sorted together."""
         n = len(self.token)
-        order = np.lexsort((
-            np.r_[np.zeros(n, np.int8), np.ones(len(token), np.int8)], np.r_[self.doc, doc], np.r_[self.token, token],
-        ))
+        both = np.concatenate([self.doc, doc.reshape(len(token), 1) if doc.ndim == 1 else doc])
+        late = np.r_[np.zeros(n, np.int8), np.ones(len(token), np.int8)]
+        order = np.lexsort((late, *both.T[::-1], np.r_[self.token, token]))
         before = np.empty(len(order), np.int64)
         before[order] = np.cumsum(order < n)
-        return before[n:]
+        return before[n:] * self.inner + (mix(token.astype(np.uint64)) % np.uint64(self.inner)).astype(np.int64)
 
     def crosses(self, token: np.ndarray) -> np.ndarray:
         if not len(self.crossing):
@@ -111,7 +124,7 @@ def _packed(part: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
     ends = np.r_[start[1:], len(order)]
     data = [b"".join(c[order[a:b]].tobytes() for c in columns) for a, b in zip(start, ends)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(number, pa.int32()), pa.array(ends - start, pa.int64()), pa.array(data, pa.binary())], ["part", "n", "data"]
+        [pa.array(number, pa.int64()), pa.array(ends - start, pa.int64()), pa.array(data, pa.binary())], ["part", "n", "data"]
     )
 
 
@@ -127,33 +140,42 @@ def _unpacked(table: pa.Table, kinds: list[tuple]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in columns]
 
 
-_ANCHOR = [("<u8", 1), ("<u8", 1), ("<i8", 1), ("<u4", 1), ("u1", 1)]
-_EDGE = [("<u8", 1), ("<i8", 1), ("<u4", 1), ("u1", 1), ("u1", 1), ("u1", SPAN + LEAST)]
+_ANCHOR = [("<u8", 1), ("<u8", 1), ("<i8", 3), ("<u4", 1), ("u1", 1)]
+_EDGE = [("<u8", 1), ("<i8", 3), ("<u4", 1), ("u1", 1), ("u1", 1), ("u1", SPAN + LEAST)]
 # What parts say: 0 a span to remove, 1 an edge to look at closer, 2 a crossing one.
-_SAID = "kind int, id long, start long, stop long, token long, context long"
+_SAID = "kind int, last long, id long, tie long, start long, stop long, token long, context long"
 
 
 def _said(*groups: tuple) -> pa.Table:
-    """Rows of one kind each: ``(kind, id, start, stop, token, context)``."""
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+    """Rows of one kind each: ``(kind, document, start, stop, token, context)``."""
+    flat = [(np.full(len(doc), kind), *doc.T, *rest) for kind, doc, *rest in groups]
     columns = []
-    for i, kind in enumerate(kinds):
-        parts = [np.full(len(g[1]), g[0]) if i == 0 else np.asarray(g[i]) for g in groups]
+    for parts in zip(*flat):
         joined = np.concatenate([p.view(np.int64) if p.dtype == np.uint64 else p.astype(np.int64) for p in parts])
-        columns.append(pa.array(joined).cast(kind))
+        columns.append(pa.array(joined).cast(pa.int64() if columns else pa.int32()))
     return pa.Table.from_arrays(columns, [c.split()[0] for c in _SAID.split(", ")])
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    """Id and whole text as UTF-8 bytes."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return documents.select(id_or_last().alias("id"), F.encode(text, "UTF-8").alias("data"))
+    """Document and whole text as UTF-8 bytes."""
+    text, doc_id = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("doc_id").cast("long")
+    return documents.select(
+        F.when(doc_id.isNull(), 1).otherwise(0).cast("long").alias("last"), F.coalesce(doc_id, F.lit(0).cast("long")).alias("id"),
+        F.xxhash64(text).alias("tie"), F.encode(text, "UTF-8").alias("data"),
+    )
+
+
+def _each_text(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Document and bytes of each row."""
+    docs = np.stack([batch.column(c).to_numpy() for c in DOC], axis=1) if batch.num_rows else ()
+    for doc, data in zip(docs, batch.column("data")):
+        yield doc, np.frombuffer(data.as_buffer(), dtype=np.uint8)
 
 
 def _sample(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and ids of a bounded sample."""
-    found = rows.collect()
-    return np.array([r[0] for r in found], np.int64).view(np.uint64), np.array([r[1] for r in found], np.int64)
+    """Tokens and documents of a bounded sample."""
+    found = np.array(rows.collect(), np.int64).reshape(-1, 1 + len(DOC))
+    return found[:, 0].view(np.uint64) if len(found) else np.zeros(0, np.uint64), found[:, 1:]
 
 
 def _anchor_sample(texts: DataFrame, n_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,19 +185,18 @@ def _anchor_sample(texts: DataFrame, n_bytes: int) -> tuple[np.ndarray, np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = PrefixHash()
         for batch in batches:
-            token, doc = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            for i, data in zip(batch.column("id").to_pylist(), batch.column("data")):
-                data = np.frombuffer(data.as_buffer(), dtype=np.uint8)
+            token, docs = [np.zeros(0, np.uint64)], [np.zeros((0, len(DOC)), np.int64)]
+            for doc, data in _each_text(batch):
                 if len(data) >= LEAST:
                     place, own, *_ = anchors_of(data, hashes)
-                    own = own[mix(own + place.astype(np.uint64) * MIX + np.uint64(i % 2**62)) % np.uint64(every) == 0]
+                    salt = mix(doc.view(np.uint64)).sum(dtype=np.uint64)
+                    own = own[mix(own + place.astype(np.uint64) * MIX + salt) % np.uint64(every) == 0]
                     token.append(own)
-                    doc.append(np.full(len(own), i))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(token).view(np.int64)), pa.array(np.concatenate(doc))], ["token", "id"]
-            )
+                    docs.append(np.tile(doc, (len(own), 1)))
+            columns = [np.concatenate(token).view(np.int64), *np.concatenate(docs).T]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", *DOC])
 
-    return _sample(texts.mapInArrow(run, "token long, id long"))
+    return _sample(texts.mapInArrow(run, "token long, last long, id long, tie long"))
 
 
 def _anchors(texts: DataFrame, splitters: Splitters) -> DataFrame:
@@ -183,16 +204,15 @@ def _anchors(texts: DataFrame, splitters: Splitters) -> DataFrame:
         hashes = PrefixHash()
         for batch in batches:
             rows = []
-            for i, data in zip(batch.column("id").to_pylist(), batch.column("data")):
-                data = np.frombuffer(data.as_buffer(), dtype=np.uint8)
+            for doc, data in _each_text(batch):
                 if len(data) >= LEAST:
                     place, token, context, right = anchors_of(data, hashes)
-                    rows.append((token, context, np.full(len(place), i), place.astype(np.uint32), right))
+                    rows.append((token, context, np.tile(doc, (len(place), 1)), place.astype(np.uint32), right))
             if rows:
                 columns = [np.concatenate(c) for c in zip(*rows)]
                 yield _packed(splitters.part(columns[0], columns[2]), columns)
 
-    return texts.mapInArrow(run, "part int, n long, data binary")
+    return texts.mapInArrow(run, "part long, n long, data binary")
 
 
 def _compare_contexts(packed: DataFrame, splitters: Splitters) -> DataFrame:
@@ -203,12 +223,12 @@ def _compare_contexts(packed: DataFrame, splitters: Splitters) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         token, context, doc, place, right = _unpacked(table, _ANCHOR)
-        order = multikey_order([token, context, doc, place])
+        order = multikey_order([token, context, *doc.T, place])
         token, context, doc, right = token[order], context[order], doc[order], right[order].astype(np.int64)
         place = place[order].astype(np.int64)
         word, equal = _runs(token), _runs(token, context)
         first = _first_of(equal)
-        own = (doc == doc[first]) & (place == place[first])
+        own = _same(doc, place, first)
         leads = first == np.arange(len(token))
         several = np.bincount(word, weights=leads)[word] > 1
         crossing = splitters.crosses(token)
@@ -224,88 +244,110 @@ def _compare_contexts(packed: DataFrame, splitters: Splitters) -> DataFrame:
     return packed.groupBy("part").applyInArrow(run, _SAID)
 
 
+def _not_first(open_: DataFrame, by: list[str]) -> DataFrame:
+    """``leads``: whether a row is the first that has its ``by``, over all parts."""
+    firsts = open_.groupBy(*by).agg(F.min(F.struct(*DOC, "start")).alias("first"))
+    return open_.join(firsts, by).withColumn("leads", F.struct(*DOC, "start") == F.col("first"))
+
+
 def _across(said: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Spans and edges, crossing tokens settled between parts."""
-    spans = said.where("kind = 0").select("id", "start", "stop")
-    edges = said.where("kind = 1").select("token", "id", "start")
-    open_ = said.where("kind = 2")
-    firsts = open_.groupBy("token", "context").agg(F.min(F.struct("id", "start")).alias("first"))
-    met = open_.join(firsts, ["token", "context"]).withColumn("leads", F.struct("id", "start") == F.col("first"))
+    spans = said.where("kind = 0").select(*DOC, "start", "stop")
+    edges = said.where("kind = 1").select("token", *DOC, "start")
+    met = _not_first(said.where("kind = 2"), ["token", "context"])
     low = F.greatest(F.col("start") - SPAN, F.lit(0))
-    late = met.where("not leads").select("id", low.alias("start"), "stop").where(F.col("stop") - F.col("start") >= LEAST)
-    return spans.unionByName(late), edges.unionByName(met.where("leads").select("token", "id", "start"))
+    late = met.where("not leads").select(*DOC, low.alias("start"), "stop").where(F.col("stop") - F.col("start") >= LEAST)
+    return spans.unionByName(late), edges.unionByName(met.where("leads").select("token", *DOC, "start"))
+
+
+def _with_rows(texts: DataFrame, rows: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Texts joined with what ``found`` says of their document, and the texts
+    that have no row in ``rows`` for sure and so do not move."""
+    key = F.xxhash64(*DOC)
+    words = filter_of(rows.select(key.alias("key")).distinct(), "key", FILTER_BITS)
+    looked = in_filter(texts.withColumn("key", key), "key", words, FILTER_BITS, "maybe").drop("key")
+    return looked.where("maybe").drop("maybe").join(found, list(DOC), "left"), looked.where("not maybe").drop("maybe")
 
 
 def _edge_contexts(texts: DataFrame, edges: DataFrame, splitters: Splitters) -> DataFrame:
     """The bytes round each edge. Only texts that may have one move."""
     width = SPAN + LEAST
-    by_doc = edges.groupBy("id").agg(F.collect_set("start").alias("places"))
-    looked = in_filter(texts, "id", filter_of(by_doc, "id", FILTER_BITS), FILTER_BITS, "maybe")
-    met = looked.where("maybe").drop("maybe").join(by_doc, "id")
+    by_doc = edges.groupBy(*DOC).agg(F.collect_set("start").alias("places"))
+    met = _with_rows(texts, by_doc, by_doc)[0].where("places is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = PrefixHash()
         for batch in batches:
             rows = []
-            for i, data, places in zip(batch.column("id").to_pylist(), batch.column("data"), batch.column("places")):
-                data = np.frombuffer(data.as_buffer(), dtype=np.uint8)
+            for (doc, data), places in zip(_each_text(batch), batch.column("places")):
                 place = np.sort(places.values.to_numpy())
                 place = place[place + TOKEN <= len(data)]
                 padded = np.concatenate([np.zeros(SPAN, np.uint8), data, np.zeros(LEAST, np.uint8)])
                 window = np.lib.stride_tricks.sliding_window_view(padded, width)[place] if len(place) else np.zeros((0, width), np.uint8)
                 sums = hashes.sums(data)
                 rows.append((
-                    hashes.stretch(sums, place, place + TOKEN), np.full(len(place), i), place.astype(np.uint32),
+                    hashes.stretch(sums, place, place + TOKEN), np.tile(doc, (len(place), 1)), place.astype(np.uint32),
                     np.minimum(place, SPAN).astype(np.uint8), np.minimum(len(data) - place, LEAST).astype(np.uint8), window,
                 ))
             if rows:
                 columns = [np.concatenate(c) for c in zip(*rows)]
                 yield _packed(splitters.part(columns[0], columns[1]), columns)
 
-    return met.mapInArrow(run, "part int, n long, data binary")
+    return met.mapInArrow(run, "part long, n long, data binary")
+
+
+def string_hash(sum_: np.ndarray, token: np.ndarray, back: int) -> np.ndarray:
+    """Of a string's own sum, its anchor's token and the anchor's place in it."""
+    return mix(mix(sum_) + token * MIX + np.uint64(back))
 
 
 def _compare_strings(packed: DataFrame, splitters: Splitters) -> DataFrame:
     """For every offset of the anchor, sort the edges of a part by token and by
-    the string at that offset; all but the first of equal ones are repeats. The
-    strings of an edge that are repeats overlap, so they make one span."""
+    the string at that offset; all but the first of equal ones are repeats.
+    Strings are equal when two independent hashes of 64 bits are. The strings of an edge that are repeats overlap, so they make one span."""
 
     def run(table: pa.Table) -> pa.Table:
         token, doc, place, left, right, window = _unpacked(table, _EDGE)
-        order = multikey_order([token, doc, place])
+        order = multikey_order([token, *doc.T, place])
         token, doc, place = token[order], doc[order], place[order].astype(np.int64)
         left, right, window = left[order].astype(np.int64), right[order].astype(np.int64), window[order]
         crossing = splitters.crosses(token)
         far, near = np.full(len(token), -1), np.full(len(token), LEAST)
         kept = []
-        hashes = PrefixHash()
-        sums = np.zeros((len(token), window.shape[1] + 1), np.uint64)
-        np.cumsum(hashes.of_byte[window] * hashes.power[: window.shape[1]], axis=1, out=sums[:, 1:])
+        sides = []
+        for hashes in (PrefixHash(), PrefixHash(SECOND)):
+            sums = np.zeros((len(token), window.shape[1] + 1), np.uint64)
+            np.cumsum(hashes.of_byte[window] * hashes.power[: window.shape[1]], axis=1, out=sums[:, 1:])
+            sides.append((sums, hashes.inverse))
         for back in range(SPAN + 1):
             row = np.flatnonzero((left >= back) & (right >= LEAST - back))
             if not len(row):
                 continue
             at = SPAN - back
-            string = mix(mix((sums[row, at + LEAST] - sums[row, at]) * hashes.inverse[at]) + token[row] * MIX + np.uint64(back))
+            string, other = (
+                string_hash((sums[row, at + LEAST] - sums[row, at]) * inverse[at], token[row], back) for sums, inverse in sides
+            )
             by = np.argsort(string, kind="stable")
-            row, string = row[by], string[by]
-            first = _first_of(_runs(string))
-            again = (doc[row] != doc[row[first]]) | (place[row] != place[row[first]])
+            if (other[by] != other[by[_first_of(_runs(string[by]))]]).any():  # one hash for two strings
+                by = np.lexsort((other, string))
+            row, string, other = row[by], string[by], other[by]
+            first = _first_of(_runs(string, other))
+            again = ~_same(doc[row], place[row], first)
             far[row[again]] = np.maximum(far[row[again]], back)
             near[row[again]] = np.minimum(near[row[again]], back)
             lead = (first == np.arange(len(row))) & crossing[row]
-            kept.append((doc[row[lead]], place[row[lead]] - back, string[lead]))
+            kept.append((doc[row[lead]], place[row[lead]] - back, string[lead], other[lead]))
         hit = far >= 0
         groups = [(0, doc[hit], place[hit] - far[hit], place[hit] - near[hit] + LEAST, token[hit], token[hit])]
-        for ids, start, string in kept:
-            groups.append((2, ids, start, start + LEAST, string, string))
+        for docs, start, string, other in kept:
+            groups.append((2, docs, start, start + LEAST, string, other))
         return _said(*groups)
 
     return packed.groupBy("part").applyInArrow(run, _SAID)
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
-    """``id, start, stop``: stretches of bytes, overlapping, that a string of
+    """``last, id, tie, start, stop``: stretches of bytes, overlapping, that a string of
     ``LEAST`` bytes covers which starts earlier too. See :func:`suffix_dedup`."""
     spark = documents.sparkSession
     texts = _texts(documents)
@@ -315,13 +357,11 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     spans, edges = _across(cut(_compare_contexts(_anchors(texts, splitters), splitters), "suffixes"))
 
     n_edges = edges.count()
-    some = edges.where(F.pmod(F.xxhash64("token", "id", "start"), F.lit(max(1, n_edges // SAMPLED))) == 0)
-    splitters = Splitters(*_sample(some.select("token", "id")), max(width, n_edges // PART_EDGES))
+    some = edges.where(F.pmod(F.xxhash64("token", *DOC, "start"), F.lit(max(1, n_edges // SAMPLED))) == 0)
+    splitters = Splitters(*_sample(some.select("token", *DOC)), max(width, n_edges // PART_EDGES))
     said = cut(_compare_strings(_edge_contexts(texts, edges, splitters), splitters), "strings")
-    open_ = said.where("kind = 2").select("id", "start", "stop", F.col("token").alias("string"))
-    firsts = open_.groupBy("string").agg(F.min(F.struct("id", "start")).alias("first"))
-    late = open_.join(firsts, "string").where(F.struct("id", "start") != F.col("first")).select("id", "start", "stop")
-    return spans.unionByName(said.where("kind = 0").select("id", "start", "stop")).unionByName(late)
+    late = _not_first(said.where("kind = 2"), ["token", "context"]).where("not leads")
+    return spans.unionByName(said.where("kind = 0").select(*DOC, "start", "stop")).unionByName(late.select(*DOC, "start", "stop"))
 
 
 def suffix_dedup(documents: DataFrame) -> DataFrame:
@@ -337,27 +377,27 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     all suffixes deal them out by leading token and id; buckets are sorted by
     multikey sort, token, context, id, place; tokens that cross a border are
     compared across parts. Where whole contexts agree, that settles all strings
-    of the anchor; the rest, the ends of repeats, are compared byte string by
-    byte string. Equality is that of 64-bit hashes of tokens and contexts taken
-    together. No pairs are made in a group of repeats: each is held against the
+    of the anchor; the rest, the ends of repeats, are compared string by string.
+    Equality is that of 128 bits: hashes of token and context, or two of the
+    string. No pairs are made in a group of repeats: each is held against the
     first.
 
-    Null and empty texts have no bytes. Rows without id come last, ordered by a
-    hash of the text, equal ones as one document. Rows that repeat an id and a
-    text share its result; other texts under the same id get the spans of both,
-    cut to their length. Other columns are ignored; an empty table gives an empty
+    Null and empty texts have no bytes. Any id is taken; rows without one come
+    last. Rows of one id, or of none, are told apart by a hash of the text, which
+    orders them; those that repeat the text too count as one document and share
+    its result. Other columns are ignored; an empty table gives an empty
     result.
     """
     texts = _texts(documents)
     spans = cut(repeated_spans(documents), "spans")
-    by_doc = spans.groupBy("id").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    looked = in_filter(texts, "id", filter_of(spans.select("id").distinct(), "id", FILTER_BITS), FILTER_BITS, "maybe")
-    met = looked.where("maybe").drop("maybe").join(by_doc, "id", "left")
-    whole = looked.where("not maybe").drop("maybe").withColumn("spans", F.lit(None).cast("array<struct<start: long, stop: long>>"))
+    by_doc = spans.groupBy(*DOC).agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    met, whole = _with_rows(texts, spans.select(*DOC), by_doc)
+    whole = whole.withColumn("spans", F.lit(None).cast("array<struct<start: long, stop: long>>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, runs, kept = [], [], []
+            ids = pc.if_else(pc.equal(batch.column("last"), 0), batch.column("id"), pa.scalar(None, pa.int64()))
             for data, spans in zip(batch.column("data"), batch.column("spans")):
                 raw = data.as_buffer()
                 mark = np.zeros(len(raw) + 1, np.int64)
@@ -370,7 +410,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
                 runs.append(int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(gone) else 0)
                 kept.append(np.frombuffer(raw, np.uint8)[~gone].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(x.as_buffer()) for x in batch.column("data")], pa.int64()),
+                [ids, pa.array([len(x.as_buffer()) for x in batch.column("data")], pa.int64()),
                  pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
             )
@@ -378,7 +418,7 @@ def suffix_dedup(documents: DataFrame) -> DataFrame:
     # Texts that keep all bytes never move.
     return met.unionByName(whole).mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-    ).withColumn("doc_id", id_or_null("doc_id"))
+    )
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:

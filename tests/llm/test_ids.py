@@ -1,11 +1,16 @@
-"""Ids of any size, negative and null ones, repeated rows: operators 5 and 9."""
+"""Ids of any size, negative and null ones, repeated rows: operators 2, 5, 7 and 9."""
 
 import hashlib
 from collections import Counter
 
+import numpy as np
+
+from shelfmill.llm import suffix_dedup as suffix_module
+from shelfmill.llm.common import mix
 from shelfmill.llm.exact_dedup import exact_dedup
 from shelfmill.llm.line_dedup import line_dedup
 from shelfmill.llm.packing import best_fit_packing
+from shelfmill.llm.suffix_dedup import suffix_dedup
 
 ROWS = [
     (2**62 + 5, "same  text"), (2**63 - 1, "same text"), (None, "same\ntext"), (-(2**63), "alone"), (2**62, "twice"), (2**62, "twice"),
@@ -76,3 +81,61 @@ def test_lines_of_rows_without_id(spark):
     got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(r.n_dropped for r in got) == [0] + [1] * 39
     assert all(r.text.endswith("of its own") for r in got)
+
+
+def _expected_bytes(docs):
+    """Brute force of operator 2 on ``(key, text)`` in order of key; rows of one key and text are one document."""
+    seen, out = set(), {}
+    for key, text in docs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - 99):
+            if data[p : p + 100] in seen:
+                gone[p : p + 100] = b"\1" * 100
+            seen.add(data[p : p + 100])
+        out[key, text] = len(data), sum(gone), bytes(c for c, g in zip(data, gone) if not g)
+    return out
+
+
+def _passages():
+    shared = [" ".join(f"w{(i * 37 + j * j) % 997}" for j in range(60)) for i in range(4)]
+    own = lambda i: " ".join(f"o{(i * 7919 + j * 31) % 10007}" for j in range(40))
+    return [
+        (-(2**63), f"{own(1)} {shared[0]}"), (7, f"{shared[0]} {own(2)} {shared[1]}"), (2**62 + 5, f"{own(3)} {shared[1]} {own(4)}"),
+        (2**63 - 1, f"x{shared[0]}y {shared[2]}"), (None, f"{own(5)} {shared[2]} {own(6)} {shared[3]}"), (9, None), (10, ""), (None, ""),
+        (2**62, f"{own(7)} {shared[3]}"), (2**62, f"{own(7)} {shared[3]}"),
+    ]
+
+
+def _removed(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return Counter((r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in suffix_dedup(frame).collect())
+
+
+def test_suffix_dedup(spark):
+    rows = _passages()
+    ordered = sorted(dict.fromkeys(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    expected = _expected_bytes(ordered)
+    assert _removed(spark, rows) == Counter((d, *expected[d, t]) for d, t in rows)
+
+
+def test_texts_of_one_id_keep_their_own_bytes(spark):
+    """Spans of one text are not cut from another that has the same id."""
+    long = " ".join(f"p{j}" for j in range(80))
+    rows = [(1, long), (5, f"{long} tail"), (5, "z" + " ".join(f"q{j}" for j in range(90)))]
+    got = {(d, n): gone for d, n, gone, _ in _removed(spark, rows)}
+    assert got == {(1, len(rows[0][1])): 0, (5, len(rows[1][1])): len(long), (5, len(rows[2][1])): 0}
+
+
+def test_strings_of_one_hash_are_told_apart(spark, monkeypatch):
+    """With one of the two hashes the same for all strings, the result stays."""
+    rows = [(d, t) for d, t in _passages() if d is not None] + [(i, f"{i} " + _passages()[1][1][i:]) for i in range(20, 40)]
+    plain = _removed(spark, rows)
+    calls = []
+
+    def colliding(sum_, token, back):
+        calls.append(back)
+        return mix(mix(sum_) + token) if len(calls) % 2 == 0 else np.zeros(len(sum_), np.uint64)
+
+    monkeypatch.setattr(suffix_module, "string_hash", colliding)
+    assert _removed(spark, rows) == plain
