@@ -91,13 +91,8 @@ def build(features: dict[str, np.ndarray], slots: int = SLOTS) -> Model:
     return Model(languages, masks, false_rate**HASHES)
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, slots: int = SLOTS) -> Model:
-    """Model from ``(doc_id, text, lang)``; rows without lang or letter teach
-    nothing. Whole texts of at most ``sample`` documents per language, the
-    smallest by hash of their id, are read. An n-gram belongs to a language if it
-    stands in two of its documents, or its only one, and is at least half as frequent there as in
-    any other language; of those, the ``features`` most frequent. Only these, a
-    bounded number, reach the driver."""
+def _taught(labelled: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
+    """The rows that teach, ``lang, text``, and their number per language."""
     rows = (
         labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
         .where("lang is not null and text is not null")
@@ -108,6 +103,21 @@ def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, s
         narrow.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")))
         .where(F.col("n") <= sample).select("doc_id", "lang", "h").distinct()
     )
+    picked = F.broadcast(chosen.withColumnsRenamed({c: f"__{c}" for c in ("doc_id", "lang", "h")}))
+    taught = rows.withColumn("h", F.xxhash64("text")).join(
+        picked, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h"))
+    )
+    return taught.select("lang", "text"), chosen.groupBy("lang").agg(F.count("*").alias("docs"))
+
+
+def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, slots: int = SLOTS) -> Model:
+    """Model from ``(doc_id, text, lang)``; rows without lang or letter teach
+    nothing. Whole texts of at most ``sample`` documents per language, the
+    smallest by hash of their id, are read. An n-gram belongs to a language if it
+    stands in two of its documents, or its only one, and is at least half as frequent there as in
+    any other language; of those, the ``features`` most frequent. Only these, a
+    bounded number, reach the driver."""
+    taught, sizes = _taught(labelled, sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,12 +130,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, s
                     [pa.array([lang] * len(gram)), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"]
                 )
 
-    picked = F.broadcast(chosen.withColumnsRenamed({c: f"__{c}" for c in ("doc_id", "lang", "h")}))
-    taught = rows.withColumn("h", F.xxhash64("text")).join(
-        picked, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h"))
-    )
-    seen = taught.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
-    sizes = chosen.groupBy("lang").agg(F.count("*").alias("docs"))
+    seen = taught.mapInArrow(count, "lang string, gram long, n long")
     share = seen.groupBy("gram", "lang").agg(F.sum("n").alias("n")).join(F.broadcast(sizes), "lang")
     share = share.withColumn("share", F.col("n") / F.col("docs"))
     share = share.withColumn("most", F.max("share").over(Window.partitionBy("gram")))
@@ -157,6 +162,21 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     return predicted.withColumns({"lang_pred": F.col("__said.lang_pred"), "score": F.col("__said.score")}).drop("__said")
 
 
+def least_shares(labelled: DataFrame, model: Model, at_most: float, sample: int = SAMPLE) -> dict[str, float]:
+    """Per language, the score below which a text is none of its own: half of
+    what 99 in 100 of the documents that taught it reach, and ``at_most`` at
+    most. A script of many letters, or a language of few documents, has many
+    n-grams that the model does not hold, so its own texts score low; that says
+    how low. An n-gram counts if a second document holds it, so these scores are
+    about those of new texts. One document cannot say: its language's floor is 0,
+    as is that of a language none of whose documents is told right."""
+    taught, sizes = _taught(labelled, sample)
+    told = identify(taught, model).where("lang_pred = lang")
+    found = told.groupBy("lang").agg(F.percentile_approx("score", 0.01, 10_000).alias("low")).join(sizes, "lang")
+    low = {r.lang: r.low / 2 for r in found.where("docs > 1").collect()}
+    return {name: min(at_most, low.get(name, 0.0)) for name in model.languages}
+
+
 def held_out(name: str = "doc_id"):
     return F.crc32(F.col(name).cast("string").cast("binary")) % 3 == 1
 
