@@ -158,7 +158,8 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         known = Model(*shared.value)
         return pd.DataFrame([known.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    predicted = documents.withColumn("__said", predict(F.col("text").cast("string")))
+    # Not deterministic as far as Spark knows, so that a filter on the prediction moves below no join.
+    predicted = documents.withColumn("__said", predict.asNondeterministic()(F.col("text").cast("string")))
     return predicted.withColumns({"lang_pred": F.col("__said.lang_pred"), "score": F.col("__said.score")}).drop("__said")
 
 
