@@ -20,7 +20,7 @@ SPACES = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 __all__ = [
-    "NO_ID", "SPACES", "SPACE_CHARS", "LOWER", "UPPER", "cut", "id_or_last", "id_or_null", "filter_of",
+    "NO_ID", "SPACES", "SPACE_CHARS", "LOWER", "UPPER", "cut", "id_or_last", "filter_of",
     "in_filter", "mix", "PrefixHash", "shingles", "read_documents",
 ]
 
@@ -34,10 +34,6 @@ def id_or_last(name: str = "doc_id", text: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text), 2))
 
 
-def id_or_null(name: str) -> Column:
-    return F.when(F.col(name) < NO_ID, F.col(name))
-
-
 # -- Bloom filters as tables of 64-bit words ---------------------------------------------------
 
 def _slots(key: Column, bits: int) -> list[Column]:
