@@ -14,9 +14,9 @@ from pyspark.sql.window import Window
 
 from .common import mix, read_documents
 
-# Bounds of the model, whatever the corpus: labelled documents read per language,
-# n-grams kept per language, slots of the filter, hash functions.
-SAMPLE, FEATURES, SLOTS, HASHES = 3000, 20_000, 1 << 19, 3
+# Bounds of the model, whatever the corpus: n-grams kept per language, slots of the filter, hash functions.
+FEATURES, SLOTS, HASHES = 20_000, 1 << 19, 3
+HELD = 1 << 21  # n-grams that a task holds before it counts them
 SIZES = (3, 4)
 _MARK = re.compile(r"[\W\d_]+")
 
@@ -91,46 +91,36 @@ def build(features: dict[str, np.ndarray], slots: int = SLOTS) -> Model:
     return Model(languages, masks, false_rate**HASHES)
 
 
-def _taught(labelled: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
-    """The rows that teach, ``lang, text``, and their number per language."""
-    rows = (
-        labelled.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-        .where("lang is not null and text is not null")
-    )
-    # Choose on narrow rows: texts of the others don't move.
-    narrow = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
-    chosen = (
-        narrow.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "h")))
-        .where(F.col("n") <= sample).select("doc_id", "lang", "h").distinct()
-    )
-    picked = F.broadcast(chosen.withColumnsRenamed({c: f"__{c}" for c in ("doc_id", "lang", "h")}))
-    taught = rows.withColumn("h", F.xxhash64("text")).join(
-        picked, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("lang") == F.col("__lang")) & (F.col("h") == F.col("__h"))
-    )
-    return taught.select("lang", "text"), chosen.groupBy("lang").agg(F.count("*").alias("docs"))
+def _teaching(labelled: DataFrame) -> DataFrame:
+    """The rows that teach, ``doc_id, text, lang``."""
+    text, lang = (F.col(c).cast("string").alias(c) for c in ("text", "lang"))
+    return labelled.select("doc_id", text, lang).where("lang is not null and text is not null")
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, slots: int = SLOTS) -> Model:
+def train(labelled: DataFrame, features: int = FEATURES, slots: int = SLOTS) -> Model:
     """Model from ``(doc_id, text, lang)``; rows without lang or letter teach
-    nothing. Whole texts of at most ``sample`` documents per language, the
-    smallest by hash of their id, are read. An n-gram belongs to a language if it
+    nothing. All other rows do, by their whole texts. An n-gram belongs to a language if it
     stands in two of its documents, or its only one, and is at least half as frequent there as in
     any other language; of those, the ``features`` most frequent. Only these, a
     bounded number, reach the driver."""
-    taught, sizes = _taught(labelled, sample)
+    taught = _teaching(labelled)
+    narrow = taught.select("doc_id", "lang", F.xxhash64("text").alias("h")).distinct()
+    sizes = narrow.groupBy("lang").agg(F.count("*").alias("docs"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
         for batch in batches:
-            by_lang: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-                by_lang.setdefault(lang, []).append(np.unique(ngrams(text.as_py())))
-            for lang, grams in by_lang.items():
-                gram, n = np.unique(np.concatenate(grams), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(gram)), pa.array(gram.view(np.int64)), pa.array(n)], ["lang", "gram", "n"]
-                )
-
-    seen = taught.mapInArrow(count, "lang string, gram long, n long")
+                grams = np.unique(ngrams(text.as_py()))
+                held.setdefault(lang, []).append(grams)
+                size += len(grams)
+                if size >= HELD:
+                    yield from _counted(held)
+                    held, size = {}, 0
+        yield from _counted(held)
+
+    seen = taught.select("lang", "text").mapInArrow(count, "lang string, gram long, n long")
     share = seen.groupBy("gram", "lang").agg(F.sum("n").alias("n")).join(F.broadcast(sizes), "lang")
     share = share.withColumn("share", F.col("n") / F.col("docs"))
     share = share.withColumn("most", F.max("share").over(Window.partitionBy("gram")))
@@ -143,6 +133,16 @@ def train(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES, s
     return build(found, slots)
 
 
+def _counted(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for lang, grams in held.items():
+        gram, n = np.unique(np.concatenate(grams), return_counts=True)
+        for i in range(0, len(gram), 1 << 16):
+            part = gram[i : i + (1 << 16)].view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(part)), pa.array(part), pa.array(n[i : i + (1 << 16)])], ["lang", "gram", "n"]
+            )
+
+
 def identify(documents: DataFrame, model: Model) -> DataFrame:
     """All rows and columns of ``documents`` plus ``lang_pred, score``. Only the
     whole text is read. Null texts and texts without a letter are ``und`` with
@@ -163,18 +163,24 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     return predicted.withColumns({"lang_pred": F.col("__said.lang_pred"), "score": F.col("__said.score")}).drop("__said")
 
 
-def least_shares(labelled: DataFrame, model: Model, at_most: float, sample: int = SAMPLE) -> dict[str, float]:
+def least_shares(predicted: DataFrame, model: Model, at_most: float) -> dict[str, float]:
     """Per language, the score below which a text is none of its own: half of
     what 99 in 100 of the documents that taught it reach, and ``at_most`` at
     most. A script of many letters, or a language of few documents, has many
     n-grams that the model does not hold, so its own texts score low; that says
     how low. An n-gram counts if a second document holds it, so these scores are
     about those of new texts. One document cannot say: its language's floor is 0,
-    as is that of a language none of whose documents is told right."""
-    taught, sizes = _taught(labelled, sample)
-    told = identify(taught, model).where("lang_pred = lang")
-    found = told.groupBy("lang").agg(F.percentile_approx("score", 0.01, 10_000).alias("low")).join(sizes, "lang")
-    low = {r.lang: r.low / 2 for r in found.where("docs > 1").collect()}
+    as is that of a language none of whose documents is told right.
+
+    ``predicted`` are all documents that taught, as ``identify`` gives them, with
+    ``doc_id, text, lang``. They are read once, and a task sends a bounded sketch per language."""
+    rows = predicted.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), "lang_pred", "score")
+    own = F.when(F.col("lang_pred") == F.col("lang"), F.col("score"))
+    key = F.struct("doc_id", F.xxhash64(F.col("text").cast("string")))
+    found = rows.where("lang is not null and text is not null").groupBy("lang").agg(
+        F.percentile_approx(own, 0.01, 10_000).alias("low"), F.min(key).eqNullSafe(F.max(key)).alias("single")
+    )
+    low = {r.lang: r.low / 2 for r in found.where("low is not null and not single").collect()}
     return {name: min(at_most, low.get(name, 0.0)) for name in model.languages}
 
 

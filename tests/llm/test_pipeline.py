@@ -101,6 +101,36 @@ def test_languages_keep_their_own_texts(spark):
     assert sum(lost.values()) <= 1 and all(r[2] == "zz" for r in lost)
 
 
+def _by_hash(spark, n):
+    """Ids in the order of their hashes, which once chose 3,000 documents per language."""
+    from pyspark.sql import functions as F
+
+    return [r.id for r in spark.range(n).orderBy(F.xxhash64("id")).collect()]
+
+
+def test_all_labelled_documents_teach(spark):
+    """Words that stand in no early document of a large language are its words too."""
+    ids = _by_hash(spark, 3100)
+    rows = [(i, "the cat and the house of that man" if at < 3000 else "zyzzyva quokka wombat", "en") for at, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    assert corpus_pipeline.language(spark, docs, SF_DIR).count() == len(rows)
+
+
+def test_floors_come_from_all_documents(spark):
+    """One in ten documents of a language scores about 0.1, none of them early; its floor knows them."""
+    import numpy as np
+
+    from shelfmill.llm import language_id
+
+    ids, draw = _by_hash(spark, 3300), np.random.default_rng(5)
+    rare = lambda: "the cat and " + "".join(chr(0x4E00 + int(c)) for c in draw.integers(0, 20_000, 60))
+    rows = [(i, "the cat and the house of that man" if at < 3000 else rare(), "en") for at, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.train(docs)
+    assert 0 < model.predict(rows[-1][1])[1] < corpus_pipeline.LEAST_KNOWN
+    assert corpus_pipeline.language(spark, docs, SF_DIR).count() == len(rows)
+
+
 def test_stages_on_odd_rows(spark):
     """Repeated rows and ids, nulls in all columns, very long texts, columns named like the operators' own."""
     shared = "a line that several documents share, word by word"
