@@ -12,9 +12,7 @@ from .text import clean_text
 
 def is_bad_color(x: Column | str, profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     """Text that cannot be a colour: stop words, codes, numbers, long text."""
-    v = clean_text(x)
-    low = F.lower(v)
-    return (
+    bad = lambda v, low: (
         (v == "")
         | low.isin(*profile.color_stop_words)
         | (F.length(v) > 40)
@@ -25,6 +23,8 @@ def is_bad_color(x: Column | str, profile: SiteProfile = DEFAULT_PROFILE) -> Col
         | (F.size(F.split(v, " - ")) >= 3)
         | v.rlike(rf"(?U)^[\d\s\x1c-\x1f,./%-]+$")
     )
+    # Cleaned once: inside lambdas Spark works out each mention anew.
+    return let(clean_text(x), lambda v: let(F.lower(v), lambda low: bad(v, low)))
 
 
 def last_part(name: Column | str) -> Column:

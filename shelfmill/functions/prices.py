@@ -41,7 +41,13 @@ def _bounded(value: Column) -> Column:
 
 
 def _price_number(raw: Column) -> Column:
-    """Text to number; each step names its input once, so it stays one pass."""
+    """Text to number. Most are plain, as 18,99, and need none of the steps."""
+    plain = raw.rlike(r"\A[0-9]{1,4}[.,][0-9]{2}\z")
+    return F.when(plain, F.replace(raw, F.lit(","), F.lit(".")).try_cast("double")).otherwise(_any_price_number(raw))
+
+
+def _any_price_number(raw: Column) -> Column:
+    """Each step names its input once, so it stays one pass."""
     steps = (
         ("€", ""),
         (rf"(?U){SPACE}+", " "),
@@ -69,11 +75,11 @@ def normalize_price(raw: Column | str) -> Column:
 def price_candidates(text: Column | str, profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     """Distinct prices of a text in pattern order, then text order."""
     text = as_col(text)
-    patterns = ((GROUPED_PRICE,) if profile.strict_fix else ()) + PRICE_PATTERNS
-    hits = F.when(
-        text.rlike(_PRICE_LIKE),
-        F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in patterns]),
-    )
+    every = lambda patterns: F.concat(*[F.regexp_extract_all(text, F.lit(p), 1) for p in patterns])
+    none = F.array().cast("array<string>")
+    grouped = [every((GROUPED_PRICE,))] if profile.strict_fix else []
+    signed = F.when(text.contains("€"), every(PRICE_PATTERNS[:4])).otherwise(none)
+    hits = F.when(text.rlike(_PRICE_LIKE), F.concat(*grouped, signed, every(PRICE_PATTERNS[4:])))
     numbers = F.filter(F.transform(hits, _price_number), _bounded)
     found = F.array_distinct(F.transform(numbers, lambda v: F.round(v, 2)))
     return F.coalesce(found, F.array().cast("array<double>"))
@@ -97,7 +103,12 @@ def format_price(x: Column | str) -> Column:
 def discount_label(text: Column | str) -> Column:
     """First '-NN%' of the text when N is 1..95, else ''."""
     digits = F.regexp_extract(as_col(text), rf"(?U)-{SPACE}*(\d{{1,2}}){SPACE}*%", 1)
-    return _label(digits.try_cast("int"))
+    return _label(_whole(digits))
+
+
+def _whole(text: Column) -> Column:
+    """Text to a whole number. Empty text is told first: a cast that fails raises inside, which is slow."""
+    return F.nullif(text, F.lit("")).try_cast("int")
 
 
 def _label(pct: Column) -> Column:
@@ -128,9 +139,16 @@ def score_pair(
     original: Column | str, current: Column | str, discount: Column | str, source: Column | str
 ) -> Column:
     """How plausible a price pair is; -999 without a current price."""
-    o, c, d = as_col(original), as_col(current), as_col(discount)
-    label = F.translate(d, "-%", "").try_cast("int")
-    gap = F.abs(discount_number(o, c) - label)
+    return _score(as_col(original), as_col(current), _discount_of(as_col(discount)), source)
+
+
+def _discount_of(label: Column) -> Column:
+    return _whole(F.translate(label, "-%", ""))
+
+
+def _score(o: Column, c: Column, label: Column, source: Column | str) -> Column:
+    # Without a label there is no gap, and none need be worked out.
+    gap = F.when(label.isNotNull(), F.abs(discount_number(o, c) - label))
     off = F.try_divide(o - c, o)
     in_range = F.when(c.between(1, 5000), 10).otherwise(0)
     order = F.when(o.isNull(), 0).when(o >= c, 10).otherwise(-25)
@@ -160,11 +178,11 @@ def choose_pair(pairs: Column, discount: Column) -> Column:
     ranked = lambda d: F.transform(
         swapped,
         lambda p: F.struct(
-            (-score_pair(p["original"], p["current"], d, p["source"])).alias("rank"),
+            (-_score(p["original"], p["current"], d, p["source"])).alias("rank"),
             p["ord"].alias("ord"),
             p["original"].alias("original"),
             p["current"].alias("current"),
         ),
     )
-    best = let(discount, lambda d: F.array_min(ranked(d)))
+    best = let(_discount_of(discount), lambda d: F.array_min(ranked(d)))
     return let(best, lambda b: F.when(b.isNotNull(), F.struct(b["original"], b["current"])))

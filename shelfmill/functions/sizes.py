@@ -34,9 +34,10 @@ def size_patterns(profile: SiteProfile = DEFAULT_PROFILE) -> tuple[str, ...]:
 def size_tokens(text: Column | str, profile: SiteProfile = DEFAULT_PROFILE) -> Column:
     """Distinct sizes of a text, pass by pass, each in text order."""
     upper = F.upper(clean_text(text))
-    found = lambda t: F.concat(
-        *[F.regexp_extract_all(t, F.lit(p), 1) for p in size_patterns(profile)]
-    )
+    every = lambda t, patterns: F.concat(*[F.regexp_extract_all(t, F.lit(p), 1) for p in patterns])
+    none = F.array().cast("array<string>")
+    regions, bare = size_patterns(profile)[:2], size_patterns(profile)[2:]
+    found = lambda t: F.concat(F.when(t.contains("("), every(t, regions)).otherwise(none), every(t, bare))
     return let(upper, lambda t: F.array_distinct(found(t)))
 
 
@@ -60,13 +61,14 @@ def stock_status(
     if profile.in_stock_class:
         option = (tag == "li") | F.lower(attr("role")).contains("option")
         unmarked = option & ~F.lower(attr("class")).contains(profile.in_stock_class)
-    return (
-        F.when(unmarked, "OUT")
-        .when(raw.rlike(any_of(profile.sold_out_words)), "OUT")
-        .when(raw.rlike(any_of(profile.last_unit_words)), "LAST")
-        .when(raw.rlike(any_of(profile.low_stock_words)), "ALMOST")
-        .otherwise("OK")
+    by_words = let(
+        raw,
+        lambda words: F.when(words.rlike(any_of(profile.sold_out_words)), "OUT")
+        .when(words.rlike(any_of(profile.last_unit_words)), "LAST")
+        .when(words.rlike(any_of(profile.low_stock_words)), "ALMOST")
+        .otherwise("OK"),
     )
+    return F.when(unmarked, "OUT").otherwise(by_words)
 
 
 def stock_priority(status: Column | str) -> Column:
@@ -89,7 +91,8 @@ def sorted_size_text(sizes: Column) -> Column:
         sizes,
         lambda s: F.struct(
             (~is_numeric_size(s["size"])).alias("is_text"),
-            s["size"].try_cast("decimal(38,0)").alias("num"),
+            # Without a digit it is no number; a cast that fails raises inside, which is slow.
+            F.when(s["size"].rlike(r"(?U)\d"), s["size"].try_cast("decimal(38,0)")).alias("num"),
             s["size"].alias("size"),
             s["status"].alias("status"),
         ),

@@ -149,16 +149,19 @@ def shop_pages(suppliers: DataFrame) -> DataFrame:
         F.lit('/b">Casa</a></li></ul><main>'), _cards(first, 0, 4), F.lit("</main>"),
     )
     listing = lambda low, high: F.concat(F.lit("<main>"), _cards(first, low, high), F.lit("</main>"))
-    page = lambda n, path, html: F.struct(
-        (key * 4 + n).alias("page_id"), F.concat(F.lit(SITE), path).alias("url"), html.alias("html")
+    # The HTML is a column of its own, so that pages which are not asked for are not rendered.
+    pages = (
+        (F.concat(F.lit("/home/"), k), home),
+        (F.concat(F.lit("/catalog/"), k), campaign),
+        (F.concat(F.lit("/catalog/"), k, F.lit("/a")), listing(3, 14)),
+        (F.concat(F.lit("/catalog/"), k, F.lit("/b")), listing(10, 29)),
+    )
+    number = F.explode(F.array(*[F.lit(n) for n in range(len(pages))])).alias("__page")
+    numbered = suppliers.select("s_suppkey", number)
+    at = lambda part: F.coalesce(*[F.when(F.col("__page") == n, page[part]) for n, page in enumerate(pages)])
+    return numbered.select(
+        (key * 4 + F.col("__page")).alias("page_id"), F.concat(F.lit(SITE), at(0)).alias("url"), at(1).alias("html")
     )
-    pages = F.array(
-        page(0, F.concat(F.lit("/home/"), k), home),
-        page(1, F.concat(F.lit("/catalog/"), k), campaign),
-        page(2, F.concat(F.lit("/catalog/"), k, F.lit("/a")), listing(3, 14)),
-        page(3, F.concat(F.lit("/catalog/"), k, F.lit("/b")), listing(10, 29)),
-    )
-    return suppliers.select(F.inline(pages))
 
 
 def corpus(parts: DataFrame, suppliers: DataFrame) -> DataFrame:
