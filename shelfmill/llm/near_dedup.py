@@ -25,6 +25,8 @@ NATS = 15.0
 # Members and shingles of a block, pairs that share a set's making, shingles that are held
 # against members at once, bits of the filter of ids whose texts move.
 BLOCK, BLOCK_SHINGLES, FAN, COLUMNS, FILTER_BITS = 1024, 1 << 21, 256, 2048, 1 << 26
+# Of a tile's shingles so many are sorted at once, of which every STRIDE-th finds the borders; pairs whose sketches are compared at once.
+SPAN, STRIDE, PAIRS = 1 << 18, 64, 1024
 
 
 def word_bytes(text: str | None) -> bytes:
@@ -125,6 +127,15 @@ def _words(registers: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(registers[:, : BANDS * BAND]).view("<i8")
 
 
+def _allowed(batch: pa.RecordBatch) -> np.ndarray:
+    """Which rows ``(na, nb, ra, rb)`` are plausible pairs."""
+    out = []
+    for at in range(0, batch.num_rows, PAIRS):
+        n_a, n_b, a, b = (batch.column(c).slice(at, PAIRS) for c in ("na", "nb", "ra", "rb"))
+        out.append(plausible(n_a.to_numpy(), n_b.to_numpy(), _registers(a).astype(np.int32), _registers(b).astype(np.int32)))
+    return np.concatenate(out)
+
+
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` that the sketches allow."""
     side = {x: classes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("registers").alias(f"r{x}")) for x in "ab"}
@@ -133,11 +144,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keep = plausible(
-                    batch.column("na").to_numpy(), batch.column("nb").to_numpy(),
-                    _registers(batch.column("ra")).astype(np.int32), _registers(batch.column("rb")).astype(np.int32),
-                )
-                yield batch.select(["a", "b"]).filter(pa.array(keep))
+                yield batch.select(["a", "b"]).filter(pa.array(_allowed(batch)))
 
     return met.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
@@ -243,23 +250,28 @@ def _suspects(members: DataFrame, classes: DataFrame, labels: DataFrame) -> Data
 
 
 def common_counts(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of sets of numbers, each of ``first`` with each
-    of ``second``: products of 0/1 matrices, some columns at a time. Numbers that
-    one set alone holds count for nothing."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    values = np.concatenate(sets)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    column = np.cumsum(np.diff(values, prepend=values[:1]) != 0)
-    shared = np.bincount(column)[column] > 1
-    column, owner = column[shared], owner[shared]
-    column = np.cumsum(np.diff(column, prepend=column[:1]) != 0)
+    """Sizes of the intersections of sorted sets of numbers, each of ``first`` with
+    each of ``second``: products of 0/1 matrices, some columns at a time. Numbers
+    that one set alone holds count for nothing. The sets are gone through range
+    by range, so that beside them and the counts a bounded part is held."""
     total = np.zeros((len(first), len(second)), dtype=np.int64)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        part = slice(*np.searchsorted(column, (low, low + COLUMNS)))
-        held = np.zeros((len(sets), COLUMNS), dtype=np.float32)
-        held[owner[part], column[part] - low] = 1
-        total += (held[first] @ held[second].T).astype(np.int64)
+    borders = np.sort(np.concatenate([x[::STRIDE] for x in sets]))[SPAN // STRIDE :: SPAN // STRIDE]
+    edges = np.array([[0, *np.searchsorted(x, borders), len(x)] for x in sets])
+    for low, high in zip(edges.T[:-1], edges.T[1:]):
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), high - low)
+        values = np.concatenate([x[i:j] for x, i, j in zip(sets, low, high)])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        column = np.cumsum(np.diff(values, prepend=values[:1]) != 0)
+        shared = np.bincount(column)[column] > 1
+        column, owner = column[shared], owner[shared]
+        column = np.cumsum(np.diff(column, prepend=column[:1]) != 0)
+        columns = int(column[-1]) + 1 if len(column) else 0
+        for at in range(0, columns, COLUMNS):
+            part = slice(*np.searchsorted(column, (at, at + COLUMNS)))
+            held = np.zeros((len(sets), min(COLUMNS, columns - at)), dtype=np.float32)
+            held[owner[part], column[part] - at] = 1
+            total += (held[first] @ held[second].T).astype(np.int64)
     return total
 
 

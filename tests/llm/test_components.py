@@ -1,8 +1,10 @@
 """Components by contraction, ids of any size, mixed buckets."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shelfmill.llm import components as module
@@ -99,3 +101,36 @@ def test_common_counts(monkeypatch):
     got = near.common_counts(sets, first, second)
     assert got.tolist() == [[len(set(sets[a].tolist()) & set(sets[b].tolist())) for b in second] for a in first]
     assert near.common_counts(sets[:1], np.array([0]), np.array([0])).tolist() == [[0]]
+
+
+def _peak(run):
+    """What ``run`` gives, and the most bytes that it held meanwhile."""
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_tile_holds_little_beside_its_sets():
+    """A million shingles, of which half are shared; equal sets, an empty one, one of a number, a long one."""
+    draw = np.random.default_rng(9)
+    pool = draw.integers(0, 2**64, 40_000, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([draw.choice(pool, 20_000), draw.integers(0, 2**64, 15_000, dtype=np.uint64)])) for _ in range(40)]
+    sets += [sets[0][:0], sets[0], np.sort(pool)[:1], np.arange(300_000, dtype=np.uint64)]
+    first, second = np.arange(0, len(sets), 2), np.arange(1, len(sets), 2)
+    got, peak = _peak(lambda: near.common_counts(sets, first, second))
+    assert got.tolist() == [[len(np.intersect1d(sets[x], sets[y])) for y in second] for x in first]
+    assert peak < 40 << 20
+
+
+def test_pairs_of_a_batch_are_judged_in_parts():
+    """Ten thousand pairs of sketches, every other of equal ones."""
+    draw = np.random.default_rng(4)
+    registers = [draw.integers(0, 9000, near.REGISTERS).astype("<u2").tobytes() for _ in range(100)]
+    a, b = ([registers[(i + (i % 2) * side) % 100] for i in range(10_000)] for side in (0, 1))
+    n = pa.array(np.full(10_000, 50))
+    batch = pa.RecordBatch.from_arrays([n, n, pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["na", "nb", "ra", "rb"])
+    got, peak = _peak(lambda: near._allowed(batch))
+    assert got.tolist() == [i % 2 == 0 for i in range(10_000)]
+    assert peak < 20 << 20
